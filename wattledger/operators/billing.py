@@ -17,9 +17,12 @@ def household_energy(flagged: DataFrame) -> DataFrame:
     """Energy position per day, household and zone, missing solar imputed.
 
     The fill is a constant per household and day, so it is added to the sums
-    (count of gaps times the median) rather than joined to every reading.
+    (count of gaps times the median) rather than joined to every reading. Both
+    aggregates start from the same columns and filters, so a lazy input is
+    de-duplicated once and its exchange reused.
     """
     ok = F.col("billable")
+    flagged = flagged.filter(F.col("sim_date").isNotNull() & F.col("household_id").isNotNull())
     sums = flagged.groupBy("sim_date", "household_id", "grid_zone").agg(
         F.sum("consumption_kwh").cast(ENERGY).alias("gross_consumption_kwh"),
         F.sum("solar_measured_kwh").cast(ENERGY).alias("measured"),

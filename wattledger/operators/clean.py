@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from wattledger.functions.validation import billable
 from wattledger.schemas import ENERGY, LIMITS, READING_ENERGY, Limits
@@ -96,16 +96,22 @@ def household_solar_median(cleaned: DataFrame) -> DataFrame:
 
 
 def impute_solar(cleaned: DataFrame) -> DataFrame:
-    """Row-level imputation: measured value, else the household's median, else zero."""
-    medians = cleaned.groupBy("sim_date", "household_id").agg(
-        F.percentile_approx("solar_measured_kwh", 0.5).alias("median_solar_kwh")
-    )
-    return cleaned.join(medians, ["sim_date", "household_id"], "left").withColumn(
-        "solar_kwh", filled_solar()
-    )
-
+    """Row-level imputation: measured value, else the household's median, else zero.
 
-def filled_solar() -> Column:
-    return F.coalesce(
-        F.col("solar_measured_kwh"), F.col("median_solar_kwh"), F.lit(0).cast(ENERGY)
+    Only the rows with a gap are joined; measured rows pass without a shuffle.
+    ``cleaned`` is read three times and should be a stored or settled result.
+    """
+    gap = F.col("solar_measured_kwh").isNull()
+    medians = (
+        cleaned.filter(~gap)
+        .groupBy("sim_date", "household_id")
+        .agg(F.percentile_approx("solar_measured_kwh", 0.5).alias("median_solar_kwh"))
+    )
+    measured = cleaned.filter(~gap).withColumn("solar_kwh", F.col("solar_measured_kwh"))
+    filled = (
+        cleaned.filter(gap)
+        .join(medians, ["sim_date", "household_id"], "left")
+        .withColumn("solar_kwh", F.coalesce("median_solar_kwh", F.lit(0).cast(ENERGY)))
+        .drop("median_solar_kwh")
     )
+    return measured.unionByName(filled)

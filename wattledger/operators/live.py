@@ -118,17 +118,13 @@ def duplicate_scaled_zone_load(parsed: DataFrame, width: str = WINDOW) -> DataFr
     )
 
 
-def household_running(parsed: DataFrame) -> DataFrame:
+def household_totals(live: DataFrame) -> DataFrame:
     """Running totals per household and zone in one-day windows, so state can expire."""
-    day = (
-        live_readings(parsed)
-        .groupBy(F.window("event_time", "1 day").alias("w"), "household_id", "grid_zone")
-        .agg(
-            F.sum("consumption_kwh").cast(ENERGY).alias("consumption_kwh"),
-            F.sum("solar_kwh").cast(ENERGY).alias("solar_kwh"),
-            F.count(F.lit(1)).alias("reading_count"),
-            F.max("event_time").alias("last_seen"),
-        )
+    day = live.groupBy(F.window("event_time", "1 day").alias("w"), "household_id", "grid_zone").agg(
+        F.sum("consumption_kwh").cast(ENERGY).alias("consumption_kwh"),
+        F.sum("solar_kwh").cast(ENERGY).alias("solar_kwh"),
+        F.count(F.lit(1)).alias("reading_count"),
+        F.max("event_time").alias("last_seen"),
     )
     return day.withColumns(
         {
@@ -136,3 +132,7 @@ def household_running(parsed: DataFrame) -> DataFrame:
             "net_import_kwh": surplus(F.col("consumption_kwh"), F.col("solar_kwh")),
         }
     ).select(*HOUSEHOLD_RUNNING_COLUMNS)
+
+
+def household_running(parsed: DataFrame) -> DataFrame:
+    return household_totals(live_readings(parsed))

@@ -183,11 +183,11 @@ def constraint_violations(
     return reduce(DataFrame.unionByName, parts)
 
 
-def zone_conflicts(energy: DataFrame) -> DataFrame:
-    """Household-days billed in more than one zone; the bill key allows only one."""
+def zone_conflicts(cleaned: DataFrame) -> DataFrame:
+    """Household-days reporting from more than one zone; the bill key allows only one."""
     return (
-        energy.groupBy("sim_date", "household_id")
-        .agg(F.count(F.lit(1)).alias("zones"))
+        cleaned.groupBy("sim_date", "household_id")
+        .agg(F.count_distinct("grid_zone").alias("zones"))
         .filter(F.col("zones") > 1)
     )
 

@@ -160,9 +160,10 @@ def dq_metrics(spark, sf):
 
 
 def solar_imputed(spark, sf):
-    return clean.impute_solar(clean.clean(_readings(spark, sf))).select(
-        "event_id", "sim_date", "household_id", "consumption_kwh", "solar_measured_kwh", "solar_kwh"
+    cleaned = clean.clean(_readings(spark, sf)).select(
+        "event_id", "sim_date", "household_id", "consumption_kwh", "solar_measured_kwh"
     )
+    return clean.impute_solar(settle(cleaned, "cleaned"))
 
 
 def household_energy(spark, sf):
@@ -395,7 +396,7 @@ def zone_conflicts(spark, sf):
         "grid_zone",
         F.when(F.col("voltage_suspect"), F.lit("ZONE-NORTH")).otherwise(F.col("grid_zone")),
     )
-    return quality.zone_conflicts(billing.household_energy(clean.flag_clean(moved)))
+    return quality.zone_conflicts(clean.clean(moved))
 
 
 def expected_solar_by_hour(spark, sf):

@@ -1,23 +1,39 @@
-"""The settlement plan: clean, impute, price, roll up, check."""
+"""The settlement plan: clean, impute, price, roll up, check, store."""
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattledger.operators import billing, clean, quality, zones
+from wattledger.operators import billing, clean, days, quality, serving, zones
+from wattledger.plans import tables
 from wattledger.schemas import LIMITS, Limits
+from wattledger.session import pin_utc, settle
+from wattledger.sources import files
+
+JOB_NAME = "billing_reconciliation"
+
+# What energy, medians and hourly load need of a de-duplicated reading.
+FLAGGED_COLUMNS = (
+    "sim_date", "event_time", "household_id", "grid_zone", "billable",
+    "consumption_kwh", "solar_measured_kwh",
+)
 
 
 @dataclass(frozen=True)
-class Settlement:
-    """Lazy results of settling any number of days."""
+class Layout:
+    """Where the tables of one installation live."""
+
+    root: str
 
-    bills: DataFrame
-    zones: DataFrame
-    checks: DataFrame
-    priced: DataFrame
+    def __getattr__(self, name: str) -> str:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return f"{self.root.rstrip('/')}/{name}"
 
 
 def priced_households(
@@ -27,23 +43,108 @@ def priced_households(
     return billing.price(billing.household_energy(clean.flag_clean(readings, limits)), tariffs)
 
 
+def require_unique(df: DataFrame, *key: str) -> None:
+    """A repeated tariff or forecast would multiply the rows it is joined to."""
+    repeated = df.groupBy(*key).count().filter(F.col("count") > 1)
+    if not repeated.isEmpty():
+        raise ValueError(f"more than one row for a key of ({', '.join(key)})")
+
+
+def _days(first: date, last: date) -> list[date]:
+    return [date.fromordinal(n) for n in range(first.toordinal(), last.toordinal() + 1)]
+
+
+def find_pending_days(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Complete, archived and not yet billed days, from directory names alone."""
+    billed = files.partition_days(spark, layout.batch_household_bill, key="sim_day")
+    return days.pending_days(
+        files.partition_days(spark, layout.tariffs, marker="_SUCCESS"),
+        files.partition_days(spark, layout.meter_readings),
+        billed,
+    )
+
+
 def settle_days(
-    readings: DataFrame,
-    flagged: DataFrame,
-    tariffs: DataFrame,
-    weather: DataFrame,
-    dim: DataFrame,
+    spark: SparkSession,
+    layout: Layout,
+    first_day: date,
+    last_day: date | None = None,
+    run_id: str | None = None,
     limits: Limits = LIMITS,
-) -> Settlement:
-    """All outputs of the settlement, from raw readings and their flagged clean rows.
+) -> str:
+    """Settle one day or a range of days in one set of jobs and store the results.
 
-    ``flagged`` is the result of ``flag_clean``; a job stores it once so that energy,
-    medians and hourly load do not repeat the de-duplication shuffle.
+    The de-duplicated rows are stored once and feed every later step. Running the same
+    days again replaces their bills and zone rows; checks and audit rows are appended.
     """
-    priced = billing.price(billing.household_energy(flagged), tariffs)
-    return Settlement(
-        bills=billing.bill_table(priced),
-        zones=zones.zone_daily(flagged, priced, weather, dim),
-        checks=quality.dq_rows(clean.clean_stats(readings, limits), billing.tariff_coverage(priced)),
-        priced=priced,
+    pin_utc(spark)
+    last_day = last_day or first_day
+    run_id = run_id or f"batch-{first_day.isoformat()}-{uuid.uuid4().hex[:8]}"
+    started = time.monotonic()
+
+    def audit(status: str, **counts) -> None:
+        row = tables.audit_row(spark, run_id, JOB_NAME, status, first_day, **counts)
+        tables.append_rows(row, layout.ops_pipeline_runs)
+
+    def seconds() -> float:
+        return round(time.monotonic() - started, 3)
+
+    audit("RUNNING")
+    try:
+        read, written = _settle(spark, layout, first_day, last_day, run_id, limits)
+    except Exception as exc:
+        audit("FAILED", duration_s=seconds(), error=str(exc))
+        raise
+    audit("SUCCESS", records_in=read, records_out=written, duration_s=seconds())
+    return run_id
+
+
+def _settle(spark, layout, first_day, last_day, run_id, limits) -> tuple[int, int]:
+    readings = files.read_archive(spark, layout.meter_readings, first_day, last_day)
+    tariffs = files.read_tariffs(spark, layout.tariffs, first_day, last_day)
+    weather = files.read_weather(spark, layout.weather, first_day, last_day)
+    dim = files.read_dim_household(spark, path=layout.dim_household)
+    require_unique(tariffs, "sim_date", "household_id")
+    require_unique(weather, "sim_date", "grid_zone")
+
+    flagged = settle(clean.flag_clean(readings, limits).select(*FLAGGED_COLUMNS), "flagged")
+    if flagged.filter("billable").isEmpty():
+        raise ValueError(f"no valid readings from {first_day} to {last_day}; nothing was written")
+    if not quality.zone_conflicts(flagged.filter("billable")).isEmpty():
+        raise ValueError("a household reports from more than one zone in one day")
+
+    # Read by the bill table, the zone rollup and the tariff check.
+    priced = settle(billing.price(billing.household_energy(flagged), tariffs), "priced")
+    wanted = _days(first_day, last_day)
+    stamps = {"batch_run_id": F.lit(run_id), "computed_at": F.current_timestamp()}
+    bills = billing.bill_table(priced).withColumns(stamps)
+    tables.overwrite_days(
+        bills, layout.batch_household_bill, wanted, sort_by=("grid_zone", "household_id")
+    )
+    zone_rows = zones.zone_daily(flagged, priced, weather, dim).withColumns(stamps)
+    tables.overwrite_days(zone_rows, layout.batch_zone_daily, wanted, sort_by=("grid_zone",))
+
+    stats = settle(clean.clean_stats(readings, limits), "stats")
+    checks = quality.dq_rows(stats, billing.tariff_coverage(priced)).withColumns(
+        {
+            "run_id": F.lit(run_id),
+            "job_name": F.lit(JOB_NAME),
+            "stage": F.lit("batch"),
+            "recorded_at": F.current_timestamp(),
+        }
     )
+    tables.append_rows(checks, layout.ops_dq_metrics)
+    totals = stats.agg(F.sum("records_read").alias("read")).first()
+    return totals.read or 0, priced.filter(F.col("total_bill").isNotNull()).count()
+
+
+def publish_report(
+    spark: SparkSession, layout: Layout, first_day: date, last_day: date | None = None
+) -> None:
+    """Export the ranked bills of settled days as CSV."""
+    last_day = last_day or first_day
+    wanted = _days(first_day, last_day)
+    bills = spark.read.parquet(layout.batch_household_bill).filter(F.col("sim_day").isin(wanted))
+    if bills.isEmpty():
+        raise ValueError(f"no bills from {first_day} to {last_day} to report")
+    tables.export_report(serving.billing_report(bills), layout.reports, wanted)
