@@ -324,6 +324,23 @@ def demand_factor(hour: str) -> str:
 
 
 BODIES = {
+    "stream_zone_window": f"SELECT {ZL_OUT.replace('active_meters, ', '')} FROM zl",
+    "stream_zone_alerts": f"""
+        SELECT {ALERT_OUT} FROM low UNION ALL
+        SELECT 'ZONE_OVERLOAD', 'CRITICAL', 'zone', grid_zone, sim_day, window_start,
+          CAST(CAST(total_consumption_kwh AS DECIMAL(14,2)) AS DOUBLE), 45.0::DOUBLE,
+          'Zone ' || grid_zone || ' load ' || CAST(CAST(total_consumption_kwh AS DECIMAL(14,1)) AS VARCHAR)
+            || ' kWh exceeds 45 kWh in one window' FROM zl WHERE total_consumption_kwh > 45""",
+    "stream_household_day": f"SELECT {HR_OUT} FROM hr",
+    "stream_upsert_restarted": f"SELECT {HR_OUT} FROM hr",
+    "stream_archive": """
+        SELECT CASE WHEN event_id IS NOT NULL THEN sim_date END AS sim_date, reject_reason, count(*) AS readings,
+          count(*) FILTER (reject_reason IS NOT NULL) AS payloads_kept, max(kafka_offset) AS last_offset
+        FROM rd GROUP BY 1, 2""",
+    "stream_dead_letters": """
+        SELECT CASE WHEN event_id IS NOT NULL THEN household_id END AS key, event_id,
+          CASE WHEN event_id IS NOT NULL THEN household_id END AS household_id, reject_reason, kafka_offset
+        FROM rd WHERE reject_reason IS NOT NULL""",
     "household_bill": f"SELECT {BILL_OUT} FROM bill",
     "readings_parsed": """
         SELECT kafka_partition, kafka_offset, event_id,

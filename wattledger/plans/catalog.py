@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wattledger.operators import (
     alerts, billing, clean, days, expected, live, parse, quality, serving, zones,
 )
-from wattledger.plans.reconcile import priced_households
+from wattledger.plans.reconcile import FLAGGED_COLUMNS, priced_households
+from wattledger.plans.replay import STREAM_QUERIES
 from wattledger.schemas import RUN_LAYERS, RUN_STATUSES, SEVERITIES, Limits
 from wattledger.session import pin_utc, settle
 from wattledger.sources import meter_tables as mt
@@ -63,11 +64,7 @@ def _merged(spark, sf):
 def _zone_daily(spark, sf):
     # Three branches need the cleaned rows, so they are stored once.
     flagged = settle(
-        clean.flag_clean(_readings(spark, sf)).select(
-            "sim_date", "event_time", "household_id", "grid_zone", "billable",
-            "consumption_kwh", "solar_measured_kwh",
-        ),
-        "flagged",
+        clean.flag_clean(_readings(spark, sf)).select(*FLAGGED_COLUMNS), "flagged"
     )
     priced = billing.price(billing.household_energy(flagged), mt.tariffs(spark, sf))
     return zones.zone_daily(
@@ -447,4 +444,4 @@ def presented(query: Query) -> Query:
 
 
 def catalog() -> dict[str, Query]:
-    return {name: presented(query) for name, query in BATCH_QUERIES.items()}
+    return {n: presented(q) for n, q in {**BATCH_QUERIES, **STREAM_QUERIES}.items()}

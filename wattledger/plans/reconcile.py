@@ -55,8 +55,15 @@ def _days(first: date, last: date) -> list[date]:
 
 
 def find_pending_days(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Complete, archived and not yet billed days, from directory names alone."""
+    """Complete, archived and not yet billed days, oldest first.
+
+    Directory names tell what was published and archived; a day counts as billed once
+    it has a bill row.
+    """
     billed = files.partition_days(spark, layout.batch_household_bill, key="sim_day")
+    if not billed.isEmpty():
+        bills = spark.read.parquet(layout.batch_household_bill)
+        billed = bills.select(F.col("sim_day").alias("sim_date")).distinct()
     return days.pending_days(
         files.partition_days(spark, layout.tariffs, marker="_SUCCESS"),
         files.partition_days(spark, layout.meter_readings),
