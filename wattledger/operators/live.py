@@ -20,7 +20,8 @@ def live_readings(parsed: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Valid readings, each event counted once.
 
     On a stream the event ids are remembered until the watermark passes them, which
-    bounds the state; in batch the same rule is the exact de-duplication.
+    bounds the state; a reading later than ``lateness`` is left to the settlement, even
+    if its window is still open. In batch the same rule is the exact de-duplication.
     """
     valid = parsed.filter(F.col("is_valid"))
     if valid.isStreaming:
