@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from wattledger.functions.validation import billable
 from wattledger.schemas import ENERGY, LIMITS, READING_ENERGY, Limits
 
-# Within a day the first delivered copy of an event wins.
-EVENT_KEY = ("sim_date", "event_id")
+# Within a day the first delivered copy of an event wins. The id comes first: sorts
+# compare its leading bytes and seldom have to look at the day.
+EVENT_KEY = ("event_id", "sim_date")
 DELIVERY_ORDER = ("kafka_offset", "kafka_partition")
 
 
