@@ -39,7 +39,7 @@ def household_energy(flagged: DataFrame) -> DataFrame:
         "left",
     )
     zero = F.lit(0).cast(ENERGY)
-    fill = F.coalesce(F.col("median_solar_kwh"), zero) * F.col("gaps").cast("decimal(10,0)")
+    fill = F.coalesce(F.col("median_solar_kwh"), zero) * F.col("gaps").cast("decimal(12,0)")
     gross, solar = F.col("gross_consumption_kwh"), F.col("solar_generation_kwh")
     return (
         joined.select(
@@ -59,11 +59,20 @@ def household_energy(flagged: DataFrame) -> DataFrame:
 
 
 def tier_blocks(spark: SparkSession) -> DataFrame:
-    """The constant tier schedule as a relation of four rows."""
-    columns = ("billing_tier", "block1_cap", "block2_cap", "block2_mult", "block3_mult")
-    types = ("string", "decimal(6,1)", "decimal(6,1)", "decimal(4,2)", "decimal(4,2)")
-    raw = spark.createDataFrame(list(TIER_BLOCKS), ", ".join(f"{c} string" for c in columns))
-    return raw.select(*[F.col(c).cast(t).alias(c) for c, t in zip(columns, types)])
+    """The constant tier schedule as a literal relation of four rows."""
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(tier).alias("billing_tier"),
+                F.lit(cap1).cast("decimal(6,1)").alias("block1_cap"),
+                F.lit(cap2).cast("decimal(6,1)").alias("block2_cap"),
+                F.lit(mult2).cast("decimal(4,2)").alias("block2_mult"),
+                F.lit(mult3).cast("decimal(4,2)").alias("block3_mult"),
+            )
+            for tier, cap1, cap2, mult2, mult3 in TIER_BLOCKS
+        ]
+    )
+    return spark.range(1).select(F.inline(rows))
 
 
 def price(energy: DataFrame, tariffs: DataFrame) -> DataFrame:

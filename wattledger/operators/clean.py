@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wattledger.functions.validation import billable
-from wattledger.schemas import ENERGY, LIMITS, READING_ENERGY, Limits
+from wattledger.schemas import LIMITS, READING_ENERGY, READING_SOLAR, Limits
 
 # Within a day the first delivered copy of an event wins. The id comes first: sorts
 # compare its leading bytes and seldom have to look at the day.
@@ -44,7 +44,9 @@ def flag_clean(readings: DataFrame, limits: Limits = LIMITS) -> DataFrame:
                 "consumption_kwh": F.when(
                     ok, F.col("power_consumption_kwh").try_cast(READING_ENERGY)
                 ),
-                "solar_measured_kwh": F.when(ok, F.col("solar_generation_kwh").try_cast(ENERGY)),
+                "solar_measured_kwh": F.when(
+                    ok, F.col("solar_generation_kwh").try_cast(READING_SOLAR)
+                ),
             }
         )
     )
@@ -112,7 +114,7 @@ def impute_solar(cleaned: DataFrame) -> DataFrame:
     filled = (
         cleaned.filter(gap)
         .join(medians, ["sim_date", "household_id"], "left")
-        .withColumn("solar_kwh", F.coalesce("median_solar_kwh", F.lit(0).cast(ENERGY)))
+        .withColumn("solar_kwh", F.coalesce("median_solar_kwh", F.lit(0).cast(READING_SOLAR)))
         .drop("median_solar_kwh")
     )
     return measured.unionByName(filled)

@@ -103,7 +103,7 @@ def duplicate_scaled_zone_load(parsed: DataFrame, width: str = WINDOW) -> DataFr
     distinct, copies = (F.col(c).cast("decimal(12,0)") for c in ("reading_count", "copies"))
 
     def scaled(value):
-        return (value * distinct / copies).cast(TOTAL_ENERGY)
+        return (value.cast(ENERGY) * distinct / copies).cast(TOTAL_ENERGY)
 
     raw_net = surplus(F.col("raw_consumption"), F.col("raw_solar"), TOTAL_ENERGY)
     return sums.select(

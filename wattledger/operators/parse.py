@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattledger.functions.validation import reject_reason, voltage_suspect
-from wattledger.schemas import ENERGY, LIMITS, READING, READING_ENERGY, VOLTAGE, Limits
+from wattledger.schemas import LIMITS, READING, READING_ENERGY, READING_SOLAR, VOLTAGE, Limits
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def validate_readings(readings: DataFrame, limits: Limits = LIMITS) -> DataFrame
                 F.col("power_consumption_kwh").try_cast(READING_ENERGY),
             ).otherwise(F.lit(0).cast(READING_ENERGY)),
             "solar_kwh": F.coalesce(
-                F.col("solar_generation_kwh").try_cast(ENERGY), F.lit(0).cast(ENERGY)
+                F.col("solar_generation_kwh").try_cast(READING_SOLAR), F.lit(0).cast(READING_SOLAR)
             ),
             "voltage": F.col("voltage").try_cast(VOLTAGE),
         }

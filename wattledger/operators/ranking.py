@@ -2,54 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
 
-# An amount is DECIMAL(12,4), so one currency unit holds 10,000 amounts at most, and
-# 10,000 units form a block of which a group can have 20,000 at most.
-UNITS_PER_BLOCK = 10_000
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+FAN_OUT = 10_000
 
-def _ahead(partition: list[str], order: str):
-    """Everything strictly greater within the partition."""
-    return (
+
+def _levels(df: DataFrame, amount: str) -> list[tuple[str, Column]]:
+    """Ever coarser buckets of the amount, each holding 10,000 of the finer ones at most.
+
+    A fixed-point amount with four decimals has 10,000 values per currency unit; units
+    are bucketed by ten thousands until the type's precision is used up.
+    """
+    dtype = df.schema[amount].dataType
+    if dtype.scale > 4:
+        raise ValueError(f"{amount} has more than four decimals")
+    levels = [("level1", F.floor(amount).cast("bigint"))]
+    digits = dtype.precision - dtype.scale
+    while digits > 4:
+        finer = levels[-1][0]
+        levels.append((f"level{len(levels) + 1}", F.floor(F.col(finer) / FAN_OUT)))
+        digits -= 4
+    return levels
+
+
+def _rows_ahead(partition: list[str], order: str) -> Column:
+    greater = (
         Window.partitionBy(*partition)
         .orderBy(F.col(order).desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    return F.coalesce(F.sum("n").over(greater), F.lit(0))
 
 
 def rank_by_amount(rows: DataFrame, group: str, amount: str, rank: str) -> DataFrame:
-    """``RANK() OVER (PARTITION BY group ORDER BY amount DESC)``.
+    """``RANK() OVER (PARTITION BY group ORDER BY amount DESC)`` for decimal amounts.
 
     The rank is one plus the number of rows with a greater amount. Rows are counted per
-    amount first (a much-repeated amount collapses on the map side), then the counts
-    are accumulated on three levels: amounts within a unit, units within a block and
-    blocks within the group. Each window therefore sorts 20,000 rows at most, however many rows
-    the group has. A plain ``rank()`` would sort the whole group in one task.
+    amount first (a much-repeated amount collapses on the map side); the counts are then
+    accumulated level by level, amounts within a unit, units within ten thousand units,
+    and so on. No window sorts more than 20,000 rows, however many the group has, where a
+    plain ``rank()`` would sort the whole group in one task.
 
     ``rows`` is read twice and should be a stored table or a settled result.
     """
-    amounts = (
-        rows.filter(F.col(amount).isNotNull())
-        .groupBy(group, amount)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("unit", F.floor(amount).cast("bigint"))
-        .withColumn("block", F.floor(F.col("unit") / UNITS_PER_BLOCK))
+    counts = rows.filter(F.col(amount).isNotNull()).groupBy(group, amount).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    units = amounts.groupBy(group, "block", "unit").agg(F.sum("n").alias("n"))
-    blocks = units.groupBy(group, "block").agg(F.sum("n").alias("n"))
-
-    within_unit = F.coalesce(F.sum("n").over(_ahead([group, "unit"], amount)), F.lit(0))
-    within_block = F.coalesce(F.sum("n").over(_ahead([group, "block"], "unit")), F.lit(0))
-    before_block = F.coalesce(F.sum("n").over(_ahead([group], "block")), F.lit(0))
+    for name, bucket in (levels := _levels(rows, amount)):
+        counts = counts.withColumn(name, bucket)
+    names = [name for name, _ in levels]
 
-    unit_offset = units.select(group, "block", "unit", within_block.alias("unit_ahead")).join(
-        blocks.select(group, "block", before_block.alias("block_ahead")), [group, "block"]
-    )
-    ranks = amounts.select(group, "unit", amount, within_unit.alias("ahead")).join(
-        unit_offset, [group, "unit"]
-    ).select(
-        group, amount,
-        (F.col("ahead") + F.col("unit_ahead") + F.col("block_ahead") + 1).alias(rank),
-    )
-    return rows.join(ranks, [group, amount], "left")
+    # Rows ahead of each amount among the amounts of its unit ...
+    ranks = counts.withColumn("ahead", _rows_ahead([group, names[0]], amount)).drop("n")
+    # ... plus rows ahead of each bucket among the buckets of its parent.
+    for i, name in enumerate(names):
+        counts = counts.groupBy(group, *names[i:]).agg(F.sum("n").alias("n"))
+        parent = names[i + 1 : i + 2]
+        offset = counts.select(
+            group, name, _rows_ahead([group, *parent], name).alias(f"ahead_{name}")
+        )
+        ranks = ranks.join(offset, [group, name])
+    total = reduce(Column.__add__, [F.col(f"ahead_{n}") for n in names], F.col("ahead") + 1)
+    return rows.join(ranks.select(group, amount, total.alias(rank)), [group, amount], "left")

@@ -7,18 +7,21 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 # Numeric types. Energy and money are decimals so that sums do not depend on the
-# order in which partitions arrive; ratios are rounded once, at the end.
-ENERGY = "decimal(14,5)"
-TOTAL_ENERGY = "decimal(18,5)"  # zone and grid totals
+# order in which partitions arrive; ratios are rounded once, at the end. Scales are those
+# of the data model; precisions are wide enough for one household holding a third of
+# a very large archive, which would overflow a 14-digit total.
 READING_ENERGY = "decimal(8,5)"  # one validated reading; its sums stay long-backed
+READING_SOLAR = "decimal(14,5)"
+ENERGY = "decimal(18,5)"
+TOTAL_ENERGY = "decimal(22,5)"  # zone and grid totals
 VOLTAGE = "decimal(7,2)"
-MONEY = "decimal(12,4)"
-REVENUE = "decimal(14,4)"
+MONEY = "decimal(16,4)"
+REVENUE = "decimal(20,4)"
 RATE = "decimal(10,4)"
 INDEX = "decimal(8,4)"
 PERCENT = "decimal(6,2)"
 WIDE_PERCENT = "decimal(12,2)"
-UNITS = "decimal(16,7)"
+UNITS = "decimal(20,7)"
 
 # The tier schedule (tier, block-1 cap, block-2 cap, block-2
 # multiplier, block-3 multiplier) and the subsidy share of the energy charge.

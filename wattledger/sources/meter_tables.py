@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wattledger.operators.parse import validate_readings
-from wattledger.schemas import ENERGY, INDEX, MONEY, RATE, VOLTAGE
+from wattledger.schemas import INDEX, MONEY, RATE, READING_SOLAR, VOLTAGE
 
 # Zones by number and tiers with rate and standing charge.
 ZONES = ("ZONE-NORTH", "ZONE-SOUTH", "ZONE-EAST", "ZONE-WEST", "ZONE-CENTRAL")
@@ -60,7 +60,7 @@ def reading_rows(events: DataFrame) -> DataFrame:
     )
     # The generator keeps filters above it, so the parsed field and the converted energy
     # are computed once per delivery and not again inside every pushed-down condition.
-    once = events.withColumn("k", k).select("*", kwh.cast(ENERGY).alias("kwh"))
+    once = events.withColumn("k", k).select("*", kwh.cast(READING_SOLAR).alias("kwh"))
     first, second = (F.struct(F.lit(n).alias("copy"), "k", "kwh") for n in (0, 1))
     deliveries = F.when(F.col("event_id") % 50 == 0, F.array(first, second)).otherwise(
         F.array(first)
@@ -74,7 +74,7 @@ def reading_rows(events: DataFrame) -> DataFrame:
             zone_of(F.col("user_id")).alias("grid_zone"),
             F.col("kwh").alias("power_consumption_kwh"),
             F.when(F.col("k") >= 5, F.col("k") * F.lit("0.04").cast("decimal(3,2)"))
-            .cast(ENERGY)
+            .cast(READING_SOLAR)
             .alias("solar_generation_kwh"),
             F.when(
                 F.col("k") != 99, F.lit(230) + (F.col("k") - 50) * F.lit("0.7").cast("decimal(2,1)")
