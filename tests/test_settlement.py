@@ -11,6 +11,7 @@ from wattledger.operators import quality
 from wattledger.plans import reconcile, tables
 from wattledger.plans.reconcile import Layout
 from wattledger.schemas import ARCHIVE
+from wattledger.session import Scratch
 from wattledger.sources import files, meter_tables as mt
 
 DAYS = [date(2024, 1, d) for d in (1, 2, 3)]
@@ -109,6 +110,27 @@ def test_archive_read_prunes_partitions(spark, layout):
     assert df.select("sim_date").distinct().count() == 1
 
 
+def test_a_household_in_two_zones_is_refused(spark, tables_dir):
+    moved = mt.readings(spark, tables_dir).withColumn(
+        "grid_zone", F.when(F.col("voltage_suspect"), "ZONE-X").otherwise(F.col("grid_zone"))
+    )
+    from wattledger.operators import billing
+
+    priced = reconcile.priced_households(moved, mt.tariffs(spark, tables_dir))
+    with pytest.raises(ValueError, match=r"unique \(sim_day, household_id\)"):
+        reconcile.require_constraints(billing.bill_table(priced))
+
+
+def test_scratch_is_removed_after_the_job(spark):
+    with Scratch(spark) as scratch:
+        settled = scratch.settle(spark.range(10), "numbers")
+        (path, *_) = settled.inputFiles()
+        assert settled.count() == 10
+    from pathlib import Path
+
+    assert not Path(path.removeprefix("file://")).parent.exists()
+
+
 def test_repeated_tariff_rows_are_refused(spark):
     twice = spark.createDataFrame([("a",), ("a",)], "household_id string")
     with pytest.raises(ValueError, match="more than one row"):

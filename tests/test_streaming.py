@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wattledger.operators import live, parse
 from wattledger.schemas import ARCHIVE, MESSAGE
+from wattledger.session import use_rocksdb_state
 from wattledger.sources.messages import read_file_messages
 from wattledger.streaming import changes, queries
 from wattledger.streaming.progress import PROGRESS, ProgressLog
@@ -118,6 +119,19 @@ def test_household_day_survives_restarts_and_keeps_newest(feed):
     assert got.select("reading_count").distinct().first()[0] == 9
 
 
+def test_state_in_rocksdb_gives_the_same_view(spark, feed):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    use_rocksdb_state(spark)
+    try:
+        for b in range(2):
+            feed.land([reading(10 * b + i, 20 * b + i, 0.5) for i in range(8)] + [reading(1, 1, 0.5)])
+            got = feed.zones()
+    finally:
+        spark.conf.set(key, before)
+    assert zone_values(got) == zone_values(live.zone_load(feed.all_messages()))
+
+
 def test_spike_alert_is_kept_once_per_household_and_day(feed):
     for b in range(3):
         feed.land([reading(b * 10 + i, b * 10 + i, 9.0) for i in range(3)])

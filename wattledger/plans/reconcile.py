@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattledger.operators import billing, clean, days, quality, serving, zones
 from wattledger.plans import tables
-from wattledger.schemas import LIMITS, Limits
-from wattledger.session import pin_utc, settle
+from wattledger.schemas import BILL_COLUMNS, LIMITS, Limits
+from wattledger.session import Scratch, pin_utc
 from wattledger.sources import files
 
 JOB_NAME = "billing_reconciliation"
@@ -54,6 +54,17 @@ def _days(first: date, last: date) -> list[date]:
     return [date.fromordinal(n) for n in range(first.toordinal(), last.toordinal() + 1)]
 
 
+def require_constraints(bills: DataFrame) -> None:
+    """The declared rules of the bill table: its key, hence one zone per household and
+    day, and its mandatory columns."""
+    broken = quality.constraint_violations(
+        bills, not_null=tuple(BILL_COLUMNS), unique=("sim_day", "household_id")
+    ).filter("violations > 0")
+    found = broken.collect()  # one row per rule
+    if found:
+        raise ValueError("; ".join(f"{r.rule}: {r.violations} violations" for r in found))
+
+
 def find_pending_days(spark: SparkSession, layout: Layout) -> DataFrame:
     """Complete, archived and not yet billed days, oldest first.
 
@@ -113,36 +124,39 @@ def _settle(spark, layout, first_day, last_day, run_id, limits) -> tuple[int, in
     dim = files.read_dim_household(spark, path=layout.dim_household)
     require_unique(tariffs, "sim_date", "household_id")
     require_unique(weather, "sim_date", "grid_zone")
-
-    flagged = settle(clean.flag_clean(readings, limits).select(*FLAGGED_COLUMNS), "flagged")
-    if flagged.filter("billable").isEmpty():
-        raise ValueError(f"no valid readings from {first_day} to {last_day}; nothing was written")
-    if not quality.zone_conflicts(flagged.filter("billable")).isEmpty():
-        raise ValueError("a household reports from more than one zone in one day")
-
-    # Read by the bill table, the zone rollup and the tariff check.
-    priced = settle(billing.price(billing.household_energy(flagged), tariffs), "priced")
     wanted = _days(first_day, last_day)
     stamps = {"batch_run_id": F.lit(run_id), "computed_at": F.current_timestamp()}
-    bills = billing.bill_table(priced).withColumns(stamps)
-    tables.overwrite_days(
-        bills, layout.batch_household_bill, wanted, sort_by=("grid_zone", "household_id")
-    )
-    zone_rows = zones.zone_daily(flagged, priced, weather, dim).withColumns(stamps)
-    tables.overwrite_days(zone_rows, layout.batch_zone_daily, wanted, sort_by=("grid_zone",))
-
-    stats = settle(clean.clean_stats(readings, limits), "stats")
-    checks = quality.dq_rows(stats, billing.tariff_coverage(priced)).withColumns(
-        {
-            "run_id": F.lit(run_id),
-            "job_name": F.lit(JOB_NAME),
-            "stage": F.lit("batch"),
-            "recorded_at": F.current_timestamp(),
-        }
-    )
-    tables.append_rows(checks, layout.ops_dq_metrics)
-    totals = stats.agg(F.sum("records_read").alias("read")).first()
-    return totals.read or 0, priced.filter(F.col("total_bill").isNotNull()).count()
+
+    with Scratch(spark) as scratch:
+        flagged = scratch.settle(
+            clean.flag_clean(readings, limits).select(*FLAGGED_COLUMNS), "flagged"
+        )
+        if flagged.filter("billable").isEmpty():
+            raise ValueError(f"no valid readings from {first_day} to {last_day}; nothing written")
+        # Read by the bill table, the zone rollup and the tariff check.
+        priced = scratch.settle(billing.price(billing.household_energy(flagged), tariffs), "priced")
+
+        bills = billing.bill_table(priced)
+        require_constraints(bills)
+        tables.overwrite_days(
+            bills.withColumns(stamps), layout.batch_household_bill, wanted,
+            sort_by=("grid_zone", "household_id"),
+        )
+        zone_rows = zones.zone_daily(flagged, priced, weather, dim).withColumns(stamps)
+        tables.overwrite_days(zone_rows, layout.batch_zone_daily, wanted, sort_by=("grid_zone",))
+
+        stats = scratch.settle(clean.clean_stats(readings, limits), "stats")
+        checks = quality.dq_rows(stats, billing.tariff_coverage(priced)).withColumns(
+            {
+                "run_id": F.lit(run_id),
+                "job_name": F.lit(JOB_NAME),
+                "stage": F.lit("batch"),
+                "recorded_at": F.current_timestamp(),
+            }
+        )
+        tables.append_rows(checks, layout.ops_dq_metrics)
+        read = stats.agg(F.sum("records_read").alias("read")).first().read or 0
+        return read, bills.count()
 
 
 def publish_report(

@@ -27,14 +27,41 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write an intermediate result once to shared storage and read it back.
 
     Used where several branches need the same expensive rows: the branches then
     scan only the columns they use, and a lost executor costs a re-read instead of
     the whole upstream computation.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Settled results of one job, removed when the job is over."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def settle(self, df: DataFrame, label: str) -> DataFrame:
+        self._paths.append(scratch_path(self._spark, label))
+        return settle(df, label, self._paths[-1])
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self._paths:
+            directory = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+            fs = directory.getFileSystem(self._spark._jsc.hadoopConfiguration())
+            fs.delete(directory, True)
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state off the heap; call before the first start of a query."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
