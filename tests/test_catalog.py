@@ -7,6 +7,8 @@ import pytest
 import __spark_entry__ as entry
 from checks.compare import compare, connect
 
+# The smallest tables hold no zone window above the overload limit.
+MAY_BE_EMPTY = {"alerts_overload"}
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
@@ -23,7 +25,7 @@ def test_query_equals_sql(spark, tables_dir, duck, name):
         return
     difference, rows = compare(df, duck, SQL[name])
     assert difference is None
-    assert rows > 0 or name == "pending_days"
+    assert rows > 0 or name in MAY_BE_EMPTY
 
 
 def test_every_sql_belongs_to_a_query():

@@ -26,15 +26,23 @@ FLAGGED_COLUMNS = (
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the tables of one installation live."""
+    """Where the tables of one installation live: one folder per table."""
 
     root: str
 
-    def __getattr__(self, name: str) -> str:
-        if name.startswith("_"):
-            raise AttributeError(name)
+    def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    meter_readings = property(lambda self: self.table("meter_readings"))
+    tariffs = property(lambda self: self.table("tariffs"))
+    weather = property(lambda self: self.table("weather"))
+    dim_household = property(lambda self: self.table("dim_household"))
+    batch_household_bill = property(lambda self: self.table("batch_household_bill"))
+    batch_zone_daily = property(lambda self: self.table("batch_zone_daily"))
+    ops_pipeline_runs = property(lambda self: self.table("ops_pipeline_runs"))
+    ops_dq_metrics = property(lambda self: self.table("ops_dq_metrics"))
+    reports = property(lambda self: self.table("reports"))
+
 
 def priced_households(
     readings: DataFrame, tariffs: DataFrame, limits: Limits = LIMITS
