@@ -47,8 +47,9 @@ def words(text: Column) -> Column:
 def shingles(docs: DataFrame, text: str, make, name: str) -> DataFrame:
     """Adds ``make`` of every run of five words, in order; null below five words.
 
-    The words are a column of their own first: written into the function that runs for
-    each shingle, the text would be split again for each.
+    The words come out of a generator of one row: as a plain column, the optimizer would
+    write them into the function that runs for each shingle wherever a filter is pushed
+    down, and the text would be split again for each.
     """
     held = unused("words")
     size = F.size(held)
@@ -57,7 +58,7 @@ def shingles(docs: DataFrame, text: str, make, name: str) -> DataFrame:
         lambda at: make(F.slice(F.col(held), at, SHINGLE_WORDS)),
     )
     return (
-        docs.withColumn(held, words(F.col(text)))
+        docs.select("*", F.explode(F.array(words(F.col(text)))).alias(held))
         .withColumn(name, F.when(size >= SHINGLE_WORDS, runs))
         .drop(held)
     )

@@ -50,7 +50,7 @@ def candidates(docs: DataFrame, sketch: DataFrame) -> DataFrame:
     """(key, item) of texts that have a value of the item's sketch."""
     texts = docs.select(F.xxhash64("text").alias("key"), "text")
     hashes = shingles(texts, "text", F.xxhash64, "hashes").select(
-        "key", F.explode("hashes").alias("hash")
+        "key", F.explode_outer("hashes").alias("hash")
     )
     return hashes.join(sketch, "hash").select("key", "item").distinct()
 
