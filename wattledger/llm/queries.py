@@ -4,10 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattledger.llm import containment, mix, ring
+from wattledger.llm import containment, mix, ring, tokens
 from wattledger.llm.common import table
 
 
+#: The vocabulary of the token output and the id that ends a document.
+TOKENIZER = "word_bpe_49k.json"
+END_ID = 2
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = tokens.write_tokens(
+        table(spark, sf_dir, "documents"), tokenizer_path(), end_id=END_ID
+    )
+    return tokens.read_documents(parts)
+
+
 def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = ring.shard(table(spark, sf_dir, "documents"), shards=24)
     return dealt.select(
@@ -29,7 +47,7 @@ def op9_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_ring_shards, op4_mix_sources, op9_benchmark_containment)
+    for f in (op1_token_sequences, op3_ring_shards, op4_mix_sources, op9_benchmark_containment)
 }
 
 OP9_SQL = r"""
