@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattledger.llm import containment, mix, ring, tokens
-from wattledger.llm.common import table
+from wattledger.llm import containment, mix, ring, secrets, tokens, warc
+from wattledger.llm.common import stored, table
 
 
 #: The vocabulary of the token output and the id that ends a document.
@@ -45,9 +45,29 @@ def op9_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    captures = warc.assemble(stored(warc.read_records(archives), "warc-records"))
+    page_id = lambda metadata: metadata["fields"]["page-id"].cast("long")
+    full = F.coalesce("original.capture", "capture")
+    rows = captures.select(
+        page_id(F.col("metadata")).alias("page_id"),
+        full["payload_bytes"].alias("payload_bytes"),
+        full["payload_digest"].alias("payload_digest"),
+        F.col("capture.type").alias("record_type"),
+        page_id(F.col("original.metadata")).alias("refers_to"),
+        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+def op10_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_sequences, op3_ring_shards, op4_mix_sources, op9_benchmark_containment)
+    for f in (op1_token_sequences, op3_ring_shards, op4_mix_sources, op5_warc_transactions, op9_benchmark_containment, op10_secret_spans)
 }
 
 OP9_SQL = r"""
