@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattledger.llm import containment, mix, ring, secrets, tokens, warc
+from wattledger.llm import containment, mix, passages, ring, secrets, tokens, warc
 from wattledger.llm.common import stored, table
 
 
@@ -61,13 +61,18 @@ def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("copy")
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.deduplicate(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 def op10_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_sequences, op3_ring_shards, op4_mix_sources, op5_warc_transactions, op9_benchmark_containment, op10_secret_spans)
+    for f in (op1_token_sequences, op3_ring_shards, op4_mix_sources, op5_warc_transactions, op8_repeated_passages,
+              op9_benchmark_containment, op10_secret_spans)
 }
 
 OP9_SQL = r"""
