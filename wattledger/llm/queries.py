@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattledger.llm import containment, mix, passages, ring, secrets, tokens, warc
+from wattledger.llm import containment, mix, neardup, passages, ring, secrets, tokens, warc
 from wattledger.llm.common import stored, table
 
 
@@ -26,6 +26,10 @@ def op1_token_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_documents(parts)
 
 
+def op2_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = ring.shard(table(spark, sf_dir, "documents"), shards=24)
     return dealt.select(
@@ -71,7 +75,7 @@ def op10_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_sequences, op3_ring_shards, op4_mix_sources, op5_warc_transactions, op8_repeated_passages,
+    for f in (op1_token_sequences, op2_bagminhash_classes, op3_ring_shards, op4_mix_sources, op5_warc_transactions, op8_repeated_passages,
               op9_benchmark_containment, op10_secret_spans)
 }
 
