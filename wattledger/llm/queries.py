@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattledger.llm import containment, mix, neardup, passages, ring, secrets, tokens, warc
+from wattledger.llm import containment, mix, neardup, passages, ring, secrets, tokens, toxicity, warc
 from wattledger.llm.common import stored, table
 
 
@@ -65,6 +65,16 @@ def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("copy")
 
 
+def op7_toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.REJECT_SCORE).cast("int").alias("predicted"),
+    )
+
+
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.deduplicate(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
 
@@ -75,7 +85,7 @@ def op10_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_sequences, op2_bagminhash_classes, op3_ring_shards, op4_mix_sources, op5_warc_transactions, op8_repeated_passages,
+    for f in (op1_token_sequences, op2_bagminhash_classes, op3_ring_shards, op4_mix_sources, op5_warc_transactions, op7_toxic_scores, op8_repeated_passages,
               op9_benchmark_containment, op10_secret_spans)
 }
 
