@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattledger.llm import containment, mix, neardup, passages, ring, secrets, tokens, toxicity, warc
+from wattledger.llm import containment, mix, neardup, passages, ring, secrets, tokens, topk, toxicity, warc
 from wattledger.llm.common import stored, table
 
 
@@ -65,6 +65,10 @@ def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("copy")
 
 
+def op6_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -85,7 +89,7 @@ def op10_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_sequences, op2_bagminhash_classes, op3_ring_shards, op4_mix_sources, op5_warc_transactions, op7_toxic_scores, op8_repeated_passages,
+    for f in (op1_token_sequences, op2_bagminhash_classes, op3_ring_shards, op4_mix_sources, op5_warc_transactions, op6_top_products, op7_toxic_scores, op8_repeated_passages,
               op9_benchmark_containment, op10_secret_spans)
 }
 
@@ -110,4 +114,20 @@ SELECT doc_id, item_id, n::INT AS n_shingles, k::INT AS n_found, k / n AS contai
 FROM found JOIN size ON size.id = item_id WHERE k / n >= 0.8
 """
 
-ORACLE_SQL = {"op9_benchmark_containment": OP9_SQL}
+OP6_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.x, v.x)::BIGINT AS score
+    FROM v q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    FROM scored
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE_SQL = {"op6_top_products": OP6_SQL, "op9_benchmark_containment": OP9_SQL}
