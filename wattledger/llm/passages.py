@@ -140,6 +140,7 @@ def covered_words(n: int, starts: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(change[:n]) > 0
 
 
+RESULT_NAMES = ("doc_id", "n_words", "n_removed", "kept_sha256", "kept")
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
 
@@ -148,7 +149,7 @@ def _settled(window: int, with_text: bool):
 
     def make(batches):
         for batch in batches:
-            rows = {name: [] for name in ("doc_id", "n_words", "n_removed", "kept_sha256", "kept")}
+            rows = {name: [] for name in RESULT_NAMES}
             held = 0
             for i, text in enumerate(_texts(batch.column("text"))):
                 words = text.split()
@@ -181,6 +182,40 @@ def _batch(rows: dict[str, list]) -> pa.RecordBatch:
     )
 
 
+#: What is carried of a document whose windows are still to be compared.
+OPEN = {
+    "text": pa.string(), "key": pa.int64(), "first_id": pa.int64(),
+    "runs": pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])),
+}
+FIRST_PASS = RESULT + ", text string, key long, first_id long, runs array<struct<a int, b int>>, open boolean"
+
+
+def _first_pass(window: int, with_text: bool):
+    """Results of the rows that are settled, and the others as they are."""
+    settled = _settled(window, with_text)
+
+    def make(batches):
+        for batch in batches:
+            is_open = batch.column("open")
+            for done in settled([batch.filter(pc.invert(is_open))]):
+                n = done.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [*done.columns, *(pa.nulls(n, t) for t in OPEN.values()), pa.array([False] * n, pa.bool_())],
+                    names=[*done.schema.names, *OPEN, "open"],
+                )
+            rest = batch.filter(is_open)
+            n, empty = rest.num_rows, _batch({k: [] for k in RESULT_NAMES})
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rest.column("doc_id"), *(pa.nulls(n, f.type) for f in list(empty.schema)[1:]),
+                    *(rest.column(c) for c in OPEN), pa.array([True] * n, pa.bool_()),
+                ],
+                names=[*RESULT_NAMES, *OPEN, "open"],
+            )
+
+    return make
+
+
 RUNS = "key long, hash long, a int, b int"
 WINDOWS = "h1 long, h2 long, key long, id long, at int"
 
@@ -222,11 +257,16 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, with_text: bool = True) -
     known = stored(known, "passage-texts").withColumnsRenamed({"key": "k", "check": "c"})
     same = (F.col("key") == F.col("k")) & (F.col("check") == F.col("c"))
     all_rows = rows.join(known, same).drop("k", "c").withColumn("copy", order > F.col("first_id"))
-    settled = F.col("copy") | F.col("runs").isNull()
-    nothing = F.lit(None).cast("array<int>")
-    finish = _settled(window, with_text)
-    done = all_rows.filter(settled).withColumn("starts", nothing)
-    open_rows = stored(all_rows.filter(~settled), "passage-candidates")
+    is_open = ~F.col("copy") & F.col("runs").isNotNull()
+    # One pass over all texts: most rows are settled by it, and only the others go on.
+    passed = stored(
+        all_rows.withColumns({"open": is_open, "starts": F.lit(None).cast("array<int>")}).mapInArrow(
+            _first_pass(window, with_text), FIRST_PASS
+        ),
+        "passage-rows",
+    )
+    done = passed.filter(~F.col("open")).select(*RESULT_NAMES)
+    open_rows = passed.filter("open").select("doc_id", *OPEN)
     for length in more:
         narrowed = stored(surviving_runs(open_rows.select("key", "text", "runs"), length, window), "passage-runs")
         open_rows = stored(
@@ -249,7 +289,5 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, with_text: bool = True) -
     last = open_rows.join(
         starts, (F.col("key") == F.col("of")) & (F.col("first_id") == F.col("of_id")), "left"
     )
-    columns = ("doc_id", "text", "copy", "starts")
-    return done.select(*columns).mapInArrow(finish, RESULT).unionByName(
-        last.select(*columns).mapInArrow(finish, RESULT)
-    )
+    last = last.select("doc_id", "text", "starts", F.lit(False).alias("copy"))
+    return done.unionByName(last.mapInArrow(_settled(window, with_text), RESULT))
