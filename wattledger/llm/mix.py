@@ -22,15 +22,21 @@ HASH_BITS = sum(LEVEL_BITS)
 RUN = 4096
 
 
+def _identity(docs: DataFrame) -> list[Column]:
+    """Id, source and hash of a row; rows that agree in them are equal for the mix."""
+    doc_id, source = F.col("doc_id").cast("long"), F.col("source").cast("string")
+    mixed = F.xxhash64(doc_id, F.coalesce(F.col("text"), F.lit("")), source)
+    pick = F.shiftrightunsigned(mixed, 64 - HASH_BITS)
+    return [doc_id.alias("this_id"), source.alias("this_source"), pick.alias("this_pick")]
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, pick) of every document; size counts words, 0 for null."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    mixed = F.xxhash64(F.col("doc_id"), text, F.col("source"))
+    doc_id, source, pick = _identity(docs)
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").cast("string").alias("source"),
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        F.shiftrightunsigned(mixed, 64 - HASH_BITS).alias("pick"),
+        doc_id.alias("doc_id"), source.alias("source"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), pick.alias("pick"),
     )
 
 
@@ -109,17 +115,8 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     return found
 
 
-def mix(docs: DataFrame, cap: float = 3.0) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken.
-
-    Null texts have size 0 and are taken with 0 words; a null source is a source of its
-    own, the last. Repeated rows are rows of their own; at the threshold itself as many
-    of them get one more copy as come nearest to the budget. An empty table gives no
-    rows; a corpus without words has targets of 0. Other columns are ignored. Taken
-    words of a source differ from its target by less than the words of one document.
-    """
-    rows = stored(sized(docs), "mix-sizes")
-    rows = rows.groupBy("doc_id", "source", "size", "pick").agg(F.count(F.lit(1)).alias("n"))
+def _planned(rows: DataFrame, cap: float) -> DataFrame:
+    """Distinct rows (with ``n`` copies) and their source's plan; ``extra`` copies get one more."""
     sources = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = stored(
         source_targets(sources.withColumn("weight", rotating_weights()), cap), "mix-targets"
@@ -146,14 +143,67 @@ def mix(docs: DataFrame, cap: float = 3.0) -> DataFrame:
         )
         .otherwise(0)
     )
-    joined = rows.join(plan, F.col("s").eqNullSafe(F.col("source"))).withColumn("extra", extra)
-    runs = joined.withColumn("run", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {RUN}"))))
-    each = runs.withColumn(
-        "nth",
-        F.explode(F.sequence(F.col("run") * RUN + 1, F.least(F.col("n"), (F.col("run") + 1) * RUN))),
+    joined = rows.join(plan, F.col("s").eqNullSafe(F.col("source")))
+    return joined.withColumn("extra", extra.cast("long")).drop("s", "cut", "left")
+
+
+def _times(rows: DataFrame, n) -> DataFrame:
+    """Every row ``n`` times, numbered from 1 in ``nth``."""
+    runs = rows.withColumn("many", n).filter(F.col("many") > 0).withColumn(
+        "run", F.explode(F.sequence(F.lit(0), F.expr(f"(many - 1) div {RUN}")))
     )
+    nth = F.explode(F.sequence(F.col("run") * RUN + 1, F.least(F.col("many"), (F.col("run") + 1) * RUN)))
+    return runs.withColumn("nth", nth).drop("run", "many")
+
+
+def _distinct(docs: DataFrame) -> DataFrame:
+    rows = stored(sized(docs), "mix-sizes")
+    return rows.groupBy("doc_id", "source", "size", "pick").agg(F.count(F.lit(1)).alias("n"))
+
+
+def mix(docs: DataFrame, cap: float = 3.0) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken.
+
+    Null texts have size 0 and are taken with 0 words; a null source is a source of its
+    own, the last. Repeated rows are rows of their own; at the threshold itself as many
+    of them get one more copy as come nearest to the budget. An empty table gives no
+    rows; a corpus without words has targets of 0. Other columns are ignored. Taken
+    words of a source differ from its target by less than the words of one document.
+    """
+    each = _times(_planned(_distinct(docs), cap), F.col("n"))
     copies = F.col("copies") + F.when(F.col("nth") <= F.col("extra"), 1).otherwise(0)
     return each.select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).alias("taken"),
     )
+
+
+def repeated(docs: DataFrame, cap: float = 3.0) -> DataFrame:
+    """The rows of the mixed corpus, with all their columns, each as often as it is taken.
+
+    Equal rows are written together as often as they are taken in all. Rows without words
+    use up no budget and are kept as they are.
+    """
+    planned = _planned(_distinct(docs), cap)
+    total = F.when(F.col("size") == 0, F.col("n")).otherwise(F.col("copies") * F.col("n") + F.col("extra"))
+    plan = stored(
+        planned.select(
+            F.col("doc_id").alias("plan_id"), F.col("source").alias("plan_source"),
+            F.col("pick").alias("plan_pick"), "n", total.alias("total"),
+        ).filter("total > 0"),
+        "mix-copies",
+    )
+    # Stored apart: equal rows are few, and the planner sees how few.
+    many = stored(plan.filter("n > 1"), "mix-equal-rows")
+    wide = docs.select(F.struct("*").alias("row"), *_identity(docs))
+    same = (
+        F.col("this_id").eqNullSafe(F.col("plan_id"))
+        & F.col("this_source").eqNullSafe(F.col("plan_source"))
+        & (F.col("this_pick") == F.col("plan_pick"))
+    )
+    alone = _times(wide.join(plan.filter("n = 1"), same), F.col("total"))
+    # Equal rows are written as often as they are taken together.
+    several = wide.join(many, same).groupBy("this_id", "this_source", "this_pick").agg(
+        F.first("row").alias("row"), F.first("total").alias("total")
+    )
+    return alone.select("row.*").unionByName(_times(several, F.col("total")).select("row.*"))

@@ -330,7 +330,7 @@ def one_of_each(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
         ).select("k", "i", "times"),
         "kept-keys",
     )
-    once, often = kept.filter("times = 1"), kept.filter("times > 1")
+    once, often = kept.filter("times = 1"), stored(kept.filter("times > 1"), "kept-repeated")
     same = (key == F.col("k")) & doc_id.eqNullSafe(F.col("i"))
     return (
         docs.join(once, same, "left_semi")

@@ -4,24 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattledger.llm import containment, mix, neardup, passages, ring, secrets, tokens, topk, toxicity, warc
+from wattledger.llm import containment, mix, neardup, passages, ring, secrets, stages, tokens, topk, toxicity, warc
 from wattledger.llm.common import stored, table
 
 
-#: The vocabulary of the token output and the id that ends a document.
-TOKENIZER = "word_bpe_49k.json"
-END_ID = 2
-
-
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_token_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = tokens.write_tokens(
-        table(spark, sf_dir, "documents"), tokenizer_path(), end_id=END_ID
+        table(spark, sf_dir, "documents"), stages.tokenizer_path(), end_id=stages.END_ID
     )
     return tokens.read_documents(parts)
 

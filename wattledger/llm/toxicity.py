@@ -319,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
         marked = marked.filter(F.shiftrightunsigned(F.xxhash64(F.lit(7), "id"), 32) < share)
     rows = stored(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(marked, F.col("doc_id") == F.col("id"))
+        .join(F.broadcast(marked), F.col("doc_id") == F.col("id"))  # of FIT_ROWS rows or so
         .select("text", "toxic"),
         "toxic-training",
     )
@@ -336,13 +336,15 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
     return Model(terms, [float(w) for w in weights])
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and ``score`` of every row, whole texts scored.
+def score(
+    docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score"
+) -> DataFrame:
+    """The columns ``keep`` and the score of every row, whole texts scored.
 
     Only the text enters the score. Null and empty texts have the score of a text without
     hits. Rows are independent; extra columns are ignored; an empty table gives no rows.
     """
-    make = _featured(model.odds, keep, lambda x: pa.array(model.score(x), pa.float64()), "score")
+    make = _featured(model.odds, keep, lambda x: pa.array(model.score(x), pa.float64()), name)
     fields = docs.select(*keep).schema
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["score double"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"`{name}` double"])
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(make, schema)
