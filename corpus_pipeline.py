@@ -8,7 +8,7 @@ from wattledger.llm import stages
 from wattledger.llm.common import stored, table
 
 STAGES = [
-    ("toxicity", stages.toxicity),
+    ("toxicity", stages.toxicity_filter),
     ("near_duplicates", stages.near_duplicates),
     ("decontamination", stages.decontamination),
     ("source_mix", stages.source_mix),
