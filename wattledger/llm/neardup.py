@@ -10,7 +10,8 @@ a band with another is a candidate. Links are then found exactly among candidate
 2. Buckets that still hold several components may hide a link between two members that
    were not compared. Shingles of a single component cannot be part of such a link, and a
    pair of known sizes that reaches the threshold shares one of the first few shingles in
-   an order that puts those first. Only pairs that share one of these prefixes are compared.
+   an order that puts those first and then the rarer ones. Only pairs that share one of
+   these prefixes are compared.
 
 No pair is skipped for the size of its bucket, and no bucket is expanded into all pairs.
 Equal texts are one text throughout.
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattledger.llm import bagminhash, rolling
-from wattledger.llm.common import SHINGLE_WORDS, SIMILAR, stored
+from wattledger.llm.common import SHINGLE_WORDS, SIMILAR, stored, unused
 from wattledger.llm.components import components
 
 #: A pair at the threshold shares none of 24 bands of 5 with a chance of 7 in 100,000.
@@ -219,13 +220,13 @@ def hidden_pairs(members: DataFrame, texts: DataFrame, labels: DataFrame, least:
     )
     shared = (
         rows.groupBy("item")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("texts"))
         .filter(F.col("low") != F.col("high"))
-        .select("item")
+        .select("item", "texts")
     )
     mine = rows.join(stored(shared, "shared-items"), "item").groupBy("key").agg(
         F.first("label").alias("label"), F.first("total").alias("total"),
-        F.array_sort(F.collect_list(F.struct("item", "count"))).alias("items"),
+        F.array_sort(F.collect_list(F.struct("texts", "item", "count"))).alias("items"),
     )
     prefix = stored(
         mine.mapInArrow(
@@ -320,18 +321,20 @@ def one_of_each(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     # Several texts of a class may share its smallest id.
     chosen = chosen.groupBy("label").agg(F.min(F.struct("chosen_key", "chosen_id")).alias("c")).select("c.*")
     key, doc_id = text_key(docs["text"]), docs["doc_id"].cast("long")
-    counted = docs.filter(F.col("text").isNotNull()).groupBy(key.alias("k"), doc_id.alias("i")).agg(
+    this, own = unused("key"), unused("id")
+    counted = docs.filter(F.col("text").isNotNull()).groupBy(key.alias(this), doc_id.alias(own)).agg(
         F.count(F.lit(1)).alias("times")
     )
     kept = stored(
         counted.join(
             chosen,
-            (F.col("k") == F.col("chosen_key")) & F.col("i").eqNullSafe(F.col("chosen_id")),
-        ).select("k", "i", "times"),
+            (F.col(this) == F.col("chosen_key")) & F.col(own).eqNullSafe(F.col("chosen_id")),
+        ).select(this, own, "times"),
         "kept-keys",
     )
-    once, often = kept.filter("times = 1"), stored(kept.filter("times > 1"), "kept-repeated")
-    same = (key == F.col("k")) & doc_id.eqNullSafe(F.col("i"))
+    once = kept.filter("times = 1").drop("times")
+    often = stored(kept.filter("times > 1").drop("times"), "kept-repeated")
+    same = (key == F.col(this)) & doc_id.eqNullSafe(F.col(own))
     return (
         docs.join(once, same, "left_semi")
         .unionByName(docs.join(often, same, "left_semi").dropDuplicates(["doc_id", "text"]))
