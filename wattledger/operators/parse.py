@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattledger.functions.validation import reject_reason, voltage_suspect
-from wattledger.schemas import LIMITS, READING, READING_ENERGY, READING_SOLAR, VOLTAGE, Limits
+from wattledger.schemas import LIMITS, READING, READING_SOLAR, VOLTAGE, Limits
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
@@ -30,8 +30,9 @@ def decode_messages(messages: DataFrame) -> DataFrame:
 def validate_readings(readings: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Attach reason, flags and the null-safe values the live views use.
 
-    ``consumption_kwh`` exists only on valid rows: inside the plausible range it fits
-    a narrow decimal whose sums Spark keeps in a long.
+    ``consumption_kwh`` exists only on valid rows, in a type that holds every plausible
+    value. Solar readings beyond what the table can hold count as missing in the sums;
+    ``solar_range_counts`` reports how many there are.
     """
     return readings.withColumns(
         {
@@ -45,8 +46,8 @@ def validate_readings(readings: DataFrame, limits: Limits = LIMITS) -> DataFrame
             "is_valid": F.col("reject_reason").isNull(),
             "consumption_kwh": F.when(
                 F.col("reject_reason").isNull(),
-                F.col("power_consumption_kwh").try_cast(READING_ENERGY),
-            ).otherwise(F.lit(0).cast(READING_ENERGY)),
+                F.col("power_consumption_kwh").cast(limits.reading_energy),
+            ).otherwise(F.lit(0).cast(limits.reading_energy)),
             "solar_kwh": F.coalesce(
                 F.col("solar_generation_kwh").try_cast(READING_SOLAR), F.lit(0).cast(READING_SOLAR)
             ),
@@ -82,6 +83,21 @@ def dead_letter_messages(parsed: DataFrame) -> DataFrame:
     )
 
 
+def solar_range_counts(readings: DataFrame) -> DataFrame:
+    """Per day: solar readings that are present, and those no solar column can hold.
+
+    Not a number, infinite, or too large: such a value must not pass for an inverter
+    that fell silent without anyone noticing.
+    """
+    value = F.col("solar_generation_kwh")
+    return readings.groupBy("sim_date").agg(
+        F.count(value).alias("solar_readings"),
+        F.count_if(value.isNotNull() & value.try_cast(READING_SOLAR).isNull()).alias(
+            "solar_out_of_range"
+        ),
+    )
+
+
 def reject_counts(parsed: DataFrame) -> DataFrame:
     """Rows per verdict; valid rows count under a null reason."""
     return parsed.groupBy("reject_reason").agg(

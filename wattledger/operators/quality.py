@@ -54,19 +54,29 @@ def latest_checks(checks: DataFrame) -> DataFrame:
     )
 
 
-def coverage_gate(bills: DataFrame, expected: int | Column, limits: Limits = LIMITS) -> DataFrame:
-    """Per day: share of the expected households that were billed, and the verdict."""
+def coverage_gate(
+    bills: DataFrame, expected: int | Column, limits: Limits = LIMITS, days: DataFrame | None = None
+) -> DataFrame:
+    """Per day: share of the expected households that were billed, and the verdict.
+
+    With ``days`` (sim_day) each of them has a row: a day without a bill fails at 0 %.
+    """
     expected = F.lit(expected) if isinstance(expected, int) else expected
     billed = F.col("households_billed")
     pct = (billed.cast("decimal(14,0)") * 100) / F.col("expected_households").cast("decimal(14,0)")
-    return (
-        bills.groupBy("sim_day")
-        .agg(
-            F.count(F.lit(1)).alias("households_billed"),
-            F.sum("total_bill").alias("revenue"),
-            F.sum("gross_consumption_kwh").cast(TOTAL_ENERGY).alias("consumption_kwh"),
+    sums = bills.groupBy("sim_day").agg(
+        F.count(F.lit(1)).alias("households_billed"),
+        F.sum("total_bill").alias("revenue"),
+        F.sum("gross_consumption_kwh").cast(TOTAL_ENERGY).alias("consumption_kwh"),
+    )
+    if days is not None:
+        zero = F.lit(0)
+        sums = days.join(sums, "sim_day", "left").select(
+            "sim_day",
+            *[F.coalesce(c, zero.cast(t)).alias(c) for c, t in sums.dtypes if c != "sim_day"],
         )
-        .withColumn("expected_households", expected.cast("bigint"))
+    return (
+        sums.withColumn("expected_households", expected.cast("bigint"))
         .withColumn(
             "coverage_pct",
             F.when(F.col("expected_households") > 0, pct.cast("decimal(12,1)")).otherwise(

@@ -58,7 +58,7 @@ def audit_row(
 ) -> DataFrame:
     row = (
         run_id, layer, job_name, sim_day, status, records_in, records_out, duration_s,
-        error[:2000] if error else None, datetime.now(timezone.utc),
+        error, datetime.now(timezone.utc),
     )
     return spark.createDataFrame([row], AUDIT)
 

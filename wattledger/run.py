@@ -71,7 +71,8 @@ def main(argv: list[str]) -> int:
     if args.job == "settle":
         print(reconcile.settle_days(spark, layout, args.sim_day, args.last_day, args.run_id))
     elif args.job == "pending":
-        reconcile.find_pending_days(spark, layout).show(truncate=False)
+        for row in reconcile.find_pending_days(spark, layout).collect():  # one per day
+            print(row["sim_date"])
     elif args.job == "report":
         reconcile.publish_report(spark, layout, args.sim_day, args.last_day)
     else:

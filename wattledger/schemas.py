@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -10,7 +11,6 @@ from pyspark.sql import types as T
 # order in which partitions arrive; ratios are rounded once, at the end. Scales are those
 # of the data model; precisions are wide enough for one household holding a third of
 # a very large archive, which would overflow a 14-digit total.
-READING_ENERGY = "decimal(8,5)"  # one validated reading; its sums stay long-backed
 READING_SOLAR = "decimal(14,5)"
 ENERGY = "decimal(18,5)"
 TOTAL_ENERGY = "decimal(22,5)"  # zone and grid totals
@@ -61,6 +61,17 @@ class Limits:
         return 2 * self.meter_silence_seconds
 
 
+    @property
+    def reading_energy(self) -> str:
+        """The type of a validated reading: it holds every value the rule admits.
+
+        With the default limit it is narrow, and its sums stay in longs.
+        """
+        if not math.isfinite(self.max_plausible_kwh):
+            return "decimal(38,5)"
+        return f"decimal({min(38, max(8, len(str(int(self.max_plausible_kwh))) + 5))},5)"
+
+
 LIMITS = Limits()
 
 READING = T.StructType(

@@ -18,11 +18,13 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh directory under the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a session
-    without the setting (a local test) falls back to a temporary directory.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only a local master may
+    go without the setting: elsewhere each executor would write to a disk of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="wattledger-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

@@ -83,7 +83,7 @@ def start_zone_load(
         stored = write_changes(rows, zone_root, batch_id)
         _write_alerts(alerts.zone_alerts(stored, limits), alert_root, batch_id)
 
-    sums = live.zone_window_sums(live.live_readings(parsed, lateness), width)
+    sums = live.zone_window_sums(live.live_readings(parsed, lateness, width))
     writer = sums.writeStream.foreachBatch(write).outputMode("update")
     return _start(writer, "zone_load", checkpoint, seconds)
 
@@ -105,7 +105,7 @@ def start_household_running(
         )
         _write_alerts(alerts.spike_alerts(stored, limits), alert_root, batch_id)
 
-    totals = live.household_totals(live.live_readings(parsed, lateness))
+    totals = live.household_totals(live.live_readings(parsed, lateness, live.DAY))
     writer = totals.writeStream.foreachBatch(write).outputMode("update")
     return _start(writer, "household_running", checkpoint, seconds)
 
