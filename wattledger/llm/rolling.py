@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes of text hashed together; longer texts are hashed as long as they are.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -27,7 +27,7 @@ from wattledger.llm.common import fresh_folder, stored
 SEQUENCE = 2048
 SEQUENCES_A_BATCH = 64
 #: Words whose ids a worker remembers at most; beyond that it starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 600_000
 #: Bytes of text that are encoded together at most, whole words each.
 CHUNK = 4_000_000
 _ENDINGS = b".,;:!?|"

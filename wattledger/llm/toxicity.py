@@ -33,7 +33,7 @@ STEM_LETTERS = range(4, 9)
 CONTEXT = 8
 REJECT_SCORE = 0.7
 #: Words whose match a worker remembers at most.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 QUOTE_MARKS = "\"“”„«»"
