@@ -13,6 +13,10 @@ def test_arguments():
         "settle", date(2024, 1, 2), None, "r",
     )
     assert run.parse_args(["stream", "--root", "/t", "--messages", "/m"]).trigger_seconds == 10
+    args = run.parse_args(
+        ["stream", "--root", "/t", "--messages", "/m", "--max-files", "7", "--max-offsets", "500000"]
+    )
+    assert (args.max_files, args.max_offsets) == (7, 500_000)
     with pytest.raises(SystemExit):
         run.parse_args(["stream", "--root", "/t", "--topic", "only"])
 

@@ -13,8 +13,8 @@ DEMAND_BASE = 0.55
 MORNING_PEAK = (7.0, 0.6, 2.0)
 EVENING_PEAK = (19.5, 0.84, 3.0)
 
-# Area under the half-sine bell over the 12 daylight hours, per kW installed.
-CLEAR_SKY_KWH_PER_KW = 12.0 * 2.0 / math.pi
+# A cloudless day in hours at full output: daylight times the mean of half a sine wave.
+FULL_OUTPUT_HOURS = (SUNSET - SUNRISE) * 2.0 / math.pi
 
 
 def _four_digits(value: Column) -> Column:

@@ -14,7 +14,7 @@ def reject_reason(limits: Limits = LIMITS) -> Column:
     number in Spark, so it is reported as implausible.
     """
     kwh = F.col("power_consumption_kwh")
-    rules = [
+    rules = [  # The codes are fixed values.
         ("UNPARSEABLE", F.col("event_id").isNull()),
         ("MISSING_EVENT_TIME", F.col("event_time").isNull()),
         ("MISSING_HOUSEHOLD", F.col("household_id").isNull()),

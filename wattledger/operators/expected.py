@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wattledger.functions.curves import demand_factor, solar_factor
+from wattledger.operators.zones import installed_capacity
 from wattledger.schemas import ENERGY, TOTAL_ENERGY
 
 
@@ -18,11 +19,10 @@ def solar_against_curve(cleaned: DataFrame, weather: DataFrame, dim: DataFrame)
         F.coalesce(F.sum("solar_measured_kwh"), F.lit(0)).cast(TOTAL_ENERGY).alias("measured_kwh"),
         F.count("solar_measured_kwh").alias("readings"),
     )
-    capacity = dim.groupBy("grid_zone").agg(F.sum("solar_capacity_kw").alias("capacity_kw"))
     factor = solar_factor(F.col("hour").cast("double"), F.col("cloud_cover_pct"))
     return (
         measured.join(weather, ["sim_date", "grid_zone"], "left")
-        .join(capacity, "grid_zone", "left")
+        .join(installed_capacity(dim), "grid_zone", "left")
         .withColumn("solar_factor", factor)
         .withColumn("expected_kwh", F.col("capacity_kw").cast("double") * factor)
         .select(

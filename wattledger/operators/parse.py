@@ -70,6 +70,7 @@ def parse_messages(
 def dead_letters(parsed: DataFrame) -> DataFrame:
     """Rejected rows with the seven fields of the dead-letter envelope."""
     return parsed.filter(~F.col("is_valid")).select(
+        # The fields of the envelope.
         "event_id", "household_id", "grid_zone", "reject_reason", "payload",
         "kafka_partition", "kafka_offset",
     )

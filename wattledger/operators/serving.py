@@ -8,6 +8,7 @@ from wattledger.operators.ranking import rank_by_amount
 from wattledger.schemas import MONEY, TOTAL_ENERGY, WIDE_PERCENT
 from wattledger.functions.energy import percent
 
+# The columns of the report.
 REPORT_COLUMNS = (
     "sim_day", "grid_zone", "household_id", "billing_tier", "subsidy_flag",
     "gross_consumption_kwh", "solar_generation_kwh", "net_import_kwh", "exported_kwh",

@@ -195,7 +195,10 @@ def zone_peak_hour(spark, sf):
 
 
 def clear_sky_potential(spark, sf):
-    return zones.clear_sky_potential(mt.dim_household(spark, sf))
+    return zones.installed_capacity(mt.dim_household(spark, sf)).select(
+        "grid_zone", F.col("capacity_kw").alias("zone_capacity_kw"),
+        zones.cloudless_yield(F.col("capacity_kw")).alias("clear_sky_kwh"),
+    )
 
 
 def zone_daily(spark, sf):

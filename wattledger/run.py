@@ -38,6 +38,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
             job.add_argument("--topic")
             job.add_argument("--dead-letter-topic")
             job.add_argument("--messages", help="folder of landed message files")
+            job.add_argument("--max-offsets", type=int, help="messages per trigger from a topic")
+            job.add_argument("--max-files", type=int, help="files per trigger from a folder")
             job.add_argument("--trigger-seconds", type=int, default=queries.BASE_TRIGGER_SECONDS)
     args = parser.parse_args(argv)
     if args.job == "stream" and not (args.messages or (args.servers and args.topic)):
@@ -49,9 +51,10 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     use_rocksdb_state(spark)
     spark.streams.addListener(ProgressLog(spark, f"{args.root.rstrip('/')}/ops_stream_progress"))
     if args.messages:
-        messages = read_file_messages(spark, args.messages)
+        messages = read_file_messages(spark, args.messages, max_files_per_trigger=args.max_files)
     else:
-        messages = read_kafka_messages(spark, args.servers, args.topic)
+        rate = {"max_offsets_per_trigger": args.max_offsets} if args.max_offsets else {}
+        messages = read_kafka_messages(spark, args.servers, args.topic, **rate)
     options = {}
     if args.dead_letter_topic:
         options = {

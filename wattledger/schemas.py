@@ -74,6 +74,7 @@ class Limits:
 
 LIMITS = Limits()
 
+# The fields of messages, archive, files and output tables below.
 READING = T.StructType(
     [
         T.StructField("event_id", T.StringType()),
