@@ -170,3 +170,16 @@ def test_partition_days_with_and_without_marker(spark, tmp_path):
 def test_audit_row_keeps_long_errors(spark):
     row = tables.audit_row(spark, "r", "j", "FAILED", DAYS[0], error="x" * 5000).first()
     assert len(row.error) == 5000 and isinstance(row.recorded_at, datetime)
+
+
+def test_gate_has_a_row_for_every_day_asked_for(spark, layout):
+    rows = {r.sim_day: r for r in reconcile.coverage(spark, layout, DAYS[0], DAYS[2]).collect()}
+    assert sorted(rows) == DAYS
+    assert rows[DAYS[0]].households_billed > 0 and rows[DAYS[2]].households_billed == 0
+    assert (rows[DAYS[2]].coverage_pct, rows[DAYS[2]].passed) == (0, False)
+    with pytest.raises(ValueError, match="2024-01-03: 0.0 % billed"):
+        reconcile.require_coverage(spark, layout, DAYS[2])
+
+
+def test_settle_next_without_a_pending_day(spark, layout):
+    assert reconcile.settle_next(spark, layout) is None

@@ -167,6 +167,36 @@ def _settle(spark, layout, first_day, last_day, run_id, limits) -> tuple[int, in
         return read, bills.count()
 
 
+def coverage(
+    spark: SparkSession, layout: Layout, first_day: date, last_day: date | None = None,
+    limits: Limits = LIMITS,
+) -> DataFrame:
+    """A gate row for each day asked for; a day without any bill fails at 0 %."""
+    wanted = _days(first_day, last_day or first_day)
+    asked = spark.createDataFrame([(d,) for d in wanted], "sim_day date")
+    bills = spark.read.parquet(layout.batch_household_bill).filter(F.col("sim_day").isin(wanted))
+    households = spark.read.parquet(layout.dim_household).count()
+    return quality.coverage_gate(bills, households, limits, days=asked)
+
+
+def require_coverage(
+    spark: SparkSession, layout: Layout, first_day: date, last_day: date | None = None
+) -> None:
+    failed = coverage(spark, layout, first_day, last_day).filter(~F.col("passed")).collect()
+    if failed:  # one row per day
+        raise ValueError("; ".join(f"{r.sim_day}: {r.coverage_pct} % billed" for r in failed))
+
+
+def settle_next(spark: SparkSession, layout: Layout, run_id: str | None = None) -> date | None:
+    """Settle, gate and report the oldest pending day; None if there is none."""
+    day = days.next_day(find_pending_days(spark, layout)).first()["sim_date"]
+    if day is not None:
+        settle_days(spark, layout, day, run_id=run_id)
+        require_coverage(spark, layout, day)
+        publish_report(spark, layout, day)
+    return day
+
+
 def publish_report(
     spark: SparkSession, layout: Layout, first_day: date, last_day: date | None = None
 ) -> None:

@@ -83,7 +83,8 @@ def export_report(report: DataFrame, path: str, days: list[date]) -> None:
     """Ranked bill lines as CSV per day, highest bill first within each file."""
     (
         report.filter(F.col("sim_day").isin(days))
-        .repartitionByRange("sim_day", F.col("total_bill").desc())
+        # The household breaks ties, so many equal amounts can be split as well.
+        .repartitionByRange("sim_day", F.col("total_bill").desc(), "household_id")
         .sortWithinPartitions("sim_day", F.col("total_bill").desc(), "household_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -1,7 +1,9 @@
 """Submit entry points. Executors run built-in expressions only and need no Python code.
 
     PYTHONPATH=. spark-submit wattledger/run.py settle  --root PATH --sim-day 2024-01-01
+    PYTHONPATH=. spark-submit wattledger/run.py settle-next --root PATH
     PYTHONPATH=. spark-submit wattledger/run.py pending --root PATH
+    PYTHONPATH=. spark-submit wattledger/run.py gate    --root PATH --sim-day 2024-01-01
     PYTHONPATH=. spark-submit wattledger/run.py report  --root PATH --sim-day 2024-01-01
     PYTHONPATH=. spark-submit wattledger/run.py stream  --root PATH --servers HOST:PORT --topic NAME
 """
@@ -25,13 +27,13 @@ from wattledger.streaming.progress import ProgressLog
 def parse_args(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="wattledger.run")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("settle", "pending", "report", "stream"):
+    for name in ("settle", "settle-next", "pending", "gate", "report", "stream"):
         job = jobs.add_parser(name)
         job.add_argument("--root", required=True, help="folder of all tables")
-        if name in ("settle", "report"):
+        if name in ("settle", "gate", "report"):
             job.add_argument("--sim-day", required=True, type=date.fromisoformat)
             job.add_argument("--last-day", type=date.fromisoformat)
-        if name == "settle":
+        if name in ("settle", "settle-next"):
             job.add_argument("--run-id")
         if name == "stream":
             job.add_argument("--servers")
@@ -76,6 +78,10 @@ def main(argv: list[str]) -> int:
     elif args.job == "pending":
         for row in reconcile.find_pending_days(spark, layout).collect():  # one per day
             print(row["sim_date"])
+    elif args.job == "settle-next":
+        print(reconcile.settle_next(spark, layout, args.run_id) or "no day is pending")
+    elif args.job == "gate":
+        reconcile.require_coverage(spark, layout, args.sim_day, args.last_day)
     elif args.job == "report":
         reconcile.publish_report(spark, layout, args.sim_day, args.last_day)
     else:
