@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -79,6 +79,47 @@ def test_broken_clocks_raise_no_silent_zones(spark):
     assert raised(hours) == raised(hours + odd) == want
 
 
+def silent(spark, readings, **more):
+    zones = spark.createDataFrame([("Z",), ("Y",)], "grid_zone string")
+    found = alerts.silent_zone_alerts(live.zone_load(readings), zones, **more)
+    return sorted((r.entity_id, r.window_start) for r in found.collect())
+
+
+@pytest.mark.parametrize("middle", [[], [datetime(2024, 1, 2, 5)]], ids=["empty", "one meter"])
+def test_silent_days_between_others_raise_alerts(spark, middle):
+    times = [datetime(2024, 1, d, h) for d, h in ((1, 22), (1, 22), (4, 1), (4, 1))] + middle
+    first, last = times[0], times[2]
+    windows = [first + timedelta(hours=h) for h in range(int((last - first).total_seconds()) // 3600 + 1)]
+    want = sorted([("Y", w) for w in windows] + [("Z", w) for w in windows if w not in times])
+    readings = parsed(spark, [(1.0, 0.0, at) for at in times])
+    assert silent(spark, readings) == want
+    assert silent(spark, readings, days=live.meter_days(live.live_readings(readings))) == want
+
+
+def test_one_meter_vouches_for_no_day_however_often_it_reports(spark):
+    times = [datetime(2024, 1, 1, h) for h in (10, 10, 12)]
+    odd = [datetime(1970, 1, 1, h) for h in (3, 4, 5)]
+    readings = parsed(spark, [(1.0, 0.0, at) for at in times + odd]).withColumn(
+        "meter_id", F.when(F.year("event_time") == 1970, "broken").otherwise(F.col("meter_id"))
+    )
+    days = live.meter_days(live.live_readings(readings))
+    assert silent(spark, readings, days=days) == [
+        ("Y", datetime(2024, 1, 1, 10)), ("Y", datetime(2024, 1, 1, 11)),
+        ("Y", datetime(2024, 1, 1, 12)), ("Z", datetime(2024, 1, 1, 11)),
+    ]
+    alone = readings.filter("meter_id = 'broken'")
+    days = live.meter_days(live.live_readings(alone))
+    assert silent(spark, alone, days=days) == [("Y", at) for at in odd]
+
+
+def test_silent_windows_of_many_blocks(spark, monkeypatch):
+    times = [datetime(2024, 1, d, 0) for d in (1, 1, 9, 9)]
+    readings = parsed(spark, [(1.0, 0.0, at) for at in times])
+    whole = silent(spark, readings)
+    monkeypatch.setattr(alerts, "BLOCK", 5)
+    assert silent(spark, readings) == whole and len(whole) == 193 + 191
+
+
 def test_scratch_needs_a_shared_folder_off_local_masters(spark, monkeypatch):
     assert scratch_path(spark, "x")
     class Conf:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattledger.operators.live import WINDOW
 from wattledger.schemas import ALERT_COLUMNS, LIMITS, Limits
 
 METRIC = "decimal(22,4)"
+# Windows spelled out from one row.
+BLOCK = 4096
 
 
 def _digits(value: Column, places: int) -> Column:
@@ -99,40 +101,51 @@ def spike_alerts(running: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     )
 
 
+def _load_days(zone_load: DataFrame) -> DataFrame:
+    """``live.meter_days`` as far as counts per window tell: a meter counts in each window."""
+    return zone_load.groupBy(F.to_date("window_start").alias("day")).agg(
+        F.min("window_start").alias("first"),
+        F.max("window_start").alias("last"),
+        (F.sum("active_meters") >= 2).alias("vouched"),
+    )
+
+
 def silent_zone_alerts(
-    zone_load: DataFrame, zones: DataFrame, width: str = WINDOW
+    zone_load: DataFrame, zones: DataFrame, width: str = WINDOW, days: DataFrame | None = None
 ) -> DataFrame:
-    """Windows in which a zone is absent, on days that other readings vouch for.
+    """Windows in which a zone is absent, from the first to the last that counts.
 
     A zone without readings has no row to test, so the expected windows are spelled out
     (zones of the dimension times windows, whatever the number of readings) and the
-    present ones removed. Only days with readings of at least two meters are spelled out,
-    each on its own and within the first and last window of such days: a meter whose
-    clock is off by decades opens no day, and no row spans the years between.
+    present ones removed. ``days`` are the ``live.meter_days``. Days on which two meters
+    report set the first and the last window, so a meter whose clock is off by decades
+    does not; between them every window is expected, also on days without readings. If no
+    day has two meters, all days count. Windows are spelled out by blocks on many tasks.
     """
-    days = (
-        zone_load.groupBy(F.to_date("window_start").alias("day"))
-        .agg(
-            F.sum("active_meters").alias("meters"),
-            F.min("window_start").alias("first"),
-            F.max("window_start").alias("last"),
-        )
-        .filter(F.col("meters") >= 2)
+    ends = (_load_days(zone_load) if days is None else days).agg(
+        *[
+            F.coalesce(end(F.when(F.col("vouched"), F.col(c))), end(c)).alias(c)
+            for c, end in (("first", F.min), ("last", F.max))
+        ]
     )
-    ends = Window.partitionBy()  # one row per day
-    day_start = F.col("day").cast("timestamp")
-    day_end = F.date_add("day", 1).cast("timestamp") - F.expr(f"INTERVAL {width}")
+    step = F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {width}"))
     names = zones.agg(F.collect_set("grid_zone")).scalar()
-    spans = days.withColumns(
-        {"first": F.min("first").over(ends), "last": F.max("last").over(ends)}
+    spans = ends.filter(F.col("first").isNotNull()).select(
+        F.unix_micros("first").alias("first"), step.alias("step"),
+        F.expr("unix_micros(last) - unix_micros(first)").alias("reach"),
+    ).withColumn("most", F.expr("reach div step"))
+    # A count of partitions of its own, else blocks of few bytes end in one task.
+    tasks = int(zone_load.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = spans.withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"most div {BLOCK}")))
+    ).repartition(tasks, "block")
+    begin = F.col("block") * BLOCK
+    expected = blocks.withColumn(
+        "at", F.explode(F.sequence(begin, F.least(begin + (BLOCK - 1), "most")))
     ).select(
-        F.greatest(day_start, "first").alias("first"), F.least(day_end, "last").alias("last"),
+        F.timestamp_micros(F.col("first") + F.col("at") * F.col("step")).alias("window_start"),
         F.explode(names).alias("grid_zone"),
     )
-    expected = spans.select(
-        "grid_zone",
-        F.explode(F.sequence("first", "last", F.expr(f"INTERVAL {width}"))).alias("window_start"),
-    )
     absent = expected.join(
         zone_load.filter(F.col("active_meters") > 0).select("grid_zone", "window_start"),
         ["grid_zone", "window_start"],

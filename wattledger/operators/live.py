@@ -86,6 +86,19 @@ def zone_load(parsed: DataFrame, width: str = WINDOW, limits: Limits = LIMITS) -
     return zone_load_rows(zone_window_sums(live_readings(parsed, width=width)), limits)
 
 
+def meter_days(live: DataFrame) -> DataFrame:
+    """(first, last, vouched) of each day with readings: its windows, and whether two meters report.
+
+    Meters differ if the least and the greatest id do; no set of ids is kept.
+    """
+    start = F.col("w.start")
+    return live.groupBy(F.to_date(start).alias("day")).agg(
+        F.min(start).alias("first"),
+        F.max(start).alias("last"),
+        F.coalesce(F.min("meter_id") < F.max("meter_id"), F.lit(False)).alias("vouched"),
+    ).drop("day")
+
+
 def duplicate_scaled_zone_load(parsed: DataFrame, width: str = WINDOW) -> DataFrame:
     """The approximate form: raw sums scaled by the share of distinct events.
 

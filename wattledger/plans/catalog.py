@@ -101,12 +101,19 @@ def _runs(spark, sf):
     )
 
 
+def _silent_alerts(spark, sf):
+    days = live.meter_days(live.live_readings(_readings(spark, sf)))
+    return alerts.silent_zone_alerts(
+        _zone_load(spark, sf), mt.dim_household(spark, sf), days=days
+    )
+
+
 def _alerts(spark, sf):
     zone_load, running = _zone_load(spark, sf), _running(spark, sf)
     return alerts.all_alerts(
         alerts.zone_alerts(zone_load, TABLE_LIMITS),
         alerts.spike_alerts(running, TABLE_LIMITS),
-        alerts.silent_zone_alerts(zone_load, mt.dim_household(spark, sf)),
+        _silent_alerts(spark, sf),
     )
 
 
@@ -249,7 +256,7 @@ def alerts_spike(spark, sf):
 
 
 def alerts_zone_silent(spark, sf):
-    return alerts.silent_zone_alerts(_zone_load(spark, sf), mt.dim_household(spark, sf))
+    return _silent_alerts(spark, sf)
 
 
 def alerts_all(spark, sf):
