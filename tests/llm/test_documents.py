@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import prose
-from wattledger.llm import containment, mix, neardup, passages, ring, secrets, stages, tokens
+from wattledger.llm import containment, mix, neardup, passages, ring, rolling, secrets, stages, tokens
 from wattledger.llm.common import table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -249,6 +249,24 @@ def test_passages_of_any_length(documents, window):
     assert got == {0: 0, 1: 0, 2: window, 3: 0, 4: window, 5: 0}
 
 
+@pytest.mark.parametrize("width", [1, 2, 3, 8, 26, 27])
+def test_least_of_neighbours_at_every_length(width):
+    for n in range(2 * width + 1):
+        values = np.random.default_rng(n).integers(0, 99, n).astype("u8")
+        want = [min(values[i : i + width]) for i in range(n - width + 1)]
+        assert rolling.sliding_min(values, width).tolist() == want
+
+
+def test_short_texts_alone_in_their_batch(spark, documents):
+    rows = [(n, " ".join(prose(n, n))) for n in range(1, 61)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in passages.deduplicate(documents(rows)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {n: (n, 0) for n in range(1, 61)}
+
+
 def test_containment(spark, docs, tables_dir):
     items = [(1, " ".join(prose(2, 80)[10:30])), (1, " ".join(prose(2, 80)[10:30])), (2, None), (3, "too short"),
              (4, " ".join(prose(2, 80)[40:60] + prose(9, 3))), (5, " ".join(prose(99, 30))), (None, " ".join(prose(2, 80)[:9]))]

@@ -82,13 +82,15 @@ class Words:
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """The least of each ``width`` neighbouring values."""
+    """The least of each ``width`` neighbouring values; none if there are fewer."""
+    if len(values) < width:
+        return values[:0]
     reach, least = 1, values
     while 2 * reach <= width:
         least = np.minimum(least[: len(least) - reach], least[reach:])
         reach *= 2
     rest = width - reach
-    n = max(0, len(values) - width + 1)
+    n = len(values) - width + 1
     return np.minimum(least[:n], least[rest : rest + n])
 
 
