@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
 
 import pyarrow as pa
@@ -39,11 +40,18 @@ SENSITIVE = {
 }
 REPORTED = 0.55
 LEAST_LITERAL = 8
-#: Characters before a separator in which its name is looked for.
-NAME_REACH = 160
 
 SEPARATOR = re.compile(r"=>|:=|[:=]")
-NAME = re.compile(r"([A-Za-z_$][\w$.-]*)[\"'`]?\]?[ \t]*$", re.ASCII)
+NAME_CHARACTERS = string.ascii_letters + string.digits + "_$.-"
+#: A type between a name's colon and "=". Possessive, so that long texts stay linear.
+TYPE = re.compile(
+    r"[ \t]*+(?:[&*]|'\w++[ \t]++|mut[ \t]++)*+[A-Za-z_]\w*+(?:(?:\.|::)\w++)*+"
+    r"(?:\[[^\n=;\"]*\]|<[^\n=;\"]*>)?+[?!]?+(?:[ \t]*+\|[ \t]*+[A-Za-z_][\w.]*+(?:\[[^\n=;\"\]]*+\])?+)*+[ \t]*+",
+    re.ASCII,
+)
+#: Types that follow a name without a colon, and words after which any type may.
+PLAIN_TYPES = {"string", "str", "String"}
+DECLARING = {"var", "const", "let", "val"}
 LITERAL = re.compile(
     r"[ \t]*(?:\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([^\s\"'`,;(){}\[\]<>]+))"
 )
@@ -66,28 +74,78 @@ def randomness(literal: str) -> float:
     return min(1.0, -sum(k / n * math.log2(k / n) for k in Counter(literal).values()) / 3.5)
 
 
+def _last_name(text: str) -> tuple[str, str]:
+    """The name at the end of a text, or "", and what stands before it."""
+    text = text.removesuffix("\n").rstrip(" \t").removesuffix("]")
+    if text.endswith(("\"", "'", "`")):
+        text = text[:-1]
+    before = text.rstrip(NAME_CHARACTERS)
+    name = text[len(before) :].lstrip(string.digits + ".-")
+    return name, text[: len(text) - len(name)]
+
+
+def _declared(name: str, before: str) -> str:
+    """The name that ``name`` is the type of, as in ``var token string``, or ""."""
+    if before == (rest := before.rstrip(" \t*&")):
+        return ""
+    owner = rest[len(rest.rstrip(NAME_CHARACTERS)) :]
+    if not IDENTIFIER.match(owner) or owner in DECLARING:
+        return ""
+    ahead = rest[: len(rest) - len(owner)].rstrip(" \t")
+    word = ahead[len(ahead.rstrip(NAME_CHARACTERS)) :]
+    return owner if name in PLAIN_TYPES or word in DECLARING else ""
+
+
 def pairs(text: str):
-    """(name, start, end, bare) of every assignment, in order."""
+    """(names, start, end, bare) of every assignment, in order.
+
+    The first name is the target. A second one is its type, which may be a name, too. The
+    text between two separators is looked at once, however long names and padding are.
+    """
+    done = 0
+    colon = None  # the name of the last colon and where it ends
+    held = None  # its pair, until it is known whether its value is a type
     for sep in SEPARATOR.finditer(text):
-        before = NAME.search(text, max(0, sep.start() - NAME_REACH), sep.start())
-        if before and (value := LITERAL.match(text, sep.end())):
-            group = value.lastindex
-            yield before[1], value.start(group), value.end(group), group == 4
+        between, done = text[done : sep.start()], sep.end()
+        name, before = _last_name(between)
+        typed = sep[0] == "=" and colon and TYPE.fullmatch(text, colon[1], sep.start())
+        owner = colon[0] if typed else _declared(name, before) if sep[0] == "=" and name else ""
+        names = tuple(n for n in (owner, name) if n)
+        value = LITERAL.match(text, sep.end()) if names else None
+        group = value.lastindex if value else None
+        pair = (names, value.start(group), value.end(group), group == 4) if value else None
+        if colon and sep[0] == ":" and (text.startswith(":", done) or text.endswith(":", 0, sep.start())):
+            if pair:  # of a "::", maybe within a type
+                yield pair
+            continue
+        if held and typed:  # a type is no constant, and no literal before a quoted one
+            if not (pair and not pair[3]) or any(map(str.isdigit, text[held[1] : held[2]])):
+                yield (*held[:3], False)
+        elif held:
+            yield held
+        colon = held = None
+        if sep[0] == ":" and name:
+            colon, held = (name, done), pair
+        elif pair:
+            yield pair
+    if held:
+        yield held
 
 
 def named_spans(text: str) -> list[tuple[str, int, int, float]]:
     """(name, start, end, score) of literals whose targets are sensitive."""
     constants: dict[str, tuple[int, int]] = {}
     best: dict[tuple[int, int], tuple[float, str]] = {}
-    for name, start, end, bare in pairs(text):
+    for names, start, end, bare in pairs(text):
         at, literal = (start, end), text[start:end]
         if bare and IDENTIFIER.match(literal) and literal.lstrip("$") in constants:
             at = constants[literal.lstrip("$")]
-        constants[name.lstrip("$")] = at
-        if sensitive := sensitivity(name):
-            score = sensitive * randomness(text[at[0] : at[1]])
-            if score >= REPORTED:
-                best[at] = max(best.get(at, (0.0, "")), (score, name))
+        constants[names[0].lstrip("$")] = at
+        for name in names:
+            if sensitive := sensitivity(name):
+                score = sensitive * randomness(text[at[0] : at[1]])
+                if score >= REPORTED:
+                    best[at] = max(best.get(at, (0.0, "")), (score, name))
     return [(name, a, b, score) for (a, b), (score, name) in best.items()]
 
 
