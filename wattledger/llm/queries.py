@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattledger.llm import containment, mix, neardup, passages, ring, secrets, stages, tokens, topk, toxicity, warc
+from wattledger.llm import (
+    containment, merkle, mix, neardup, passages, ring, secrets, stages, tokens, topk, toxicity, warc,
+)
 from wattledger.llm.common import stored, table
 
 
@@ -76,10 +78,24 @@ def op10_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest's proof of every document, some of them tampered with.
+
+    Where 5 divides the checksum of the id, the text's ASCII capitals become small; a null
+    id has no checksum and a null text nothing to change. Equal ids are ordered by hash.
+    """
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    text = F.when(tampered, merkle.lowered_ascii(F.col("text"))).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), changed={"text": text})
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_sequences, op2_bagminhash_classes, op3_ring_shards, op4_mix_sources, op5_warc_transactions, op6_top_products, op7_toxic_scores, op8_repeated_passages,
-              op9_benchmark_containment, op10_secret_spans)
+    for f in (
+        op1_token_sequences, op2_bagminhash_classes, op3_ring_shards, op4_mix_sources,
+        op5_warc_transactions, op6_top_products, op7_toxic_scores, op8_repeated_passages,
+        op9_benchmark_containment, op10_secret_spans, op13_merkle_proofs,
+    )
 }
 
 OP9_SQL = r"""
@@ -119,4 +135,81 @@ WITH v AS (
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLE_SQL = {"op6_top_products": OP6_SQL, "op9_benchmark_containment": OP9_SQL}
+
+def _crc32_sql(text: str) -> str:
+    """The unsigned checksum of an ASCII text, bit by bit."""
+    byte_step = (
+        "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], "
+        "lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    )
+    codes = f"list_transform(string_split({text}, ''), lambda t: ascii(t)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {byte_step}), 4294967295)"
+
+
+def _encoded_sql(*values: str) -> str:
+    parts = [f"coalesce(strlen(({v})::VARCHAR) || ':' || ({v})::VARCHAR, '-')" for v in values]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree_sql(name: str, base: str) -> str:
+    """All levels of the trees over (tree, pos, n, h)."""
+    return f"""{name}(tree, level, pos, n, h) AS (
+    SELECT tree, 0, pos, n, h FROM {base}
+    UNION ALL
+    SELECT tree, level + 1, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY pos))
+    FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 16
+)"""
+
+
+def _fold_sql(name: str, base: str, levels: str) -> str:
+    """What each (leaf, tree, pos, f) folds into, level by level."""
+    return f"""{name}(leaf, tree, level, pos, f) AS (
+    SELECT leaf, tree, 0, pos, f FROM {base}
+    UNION ALL
+    SELECT c.leaf, c.tree, c.level + 1, c.pos // 16,
+        sha256(string_agg(CASE WHEN x.pos = c.pos THEN c.f ELSE x.h END, '' ORDER BY x.pos))
+    FROM {name} c JOIN {levels} x
+        ON x.tree = c.tree AND x.level = c.level AND x.pos // 16 = c.pos // 16 AND x.n > 1
+    GROUP BY c.leaf, c.tree, c.level, c.pos
+)"""
+
+
+OP13_SQL = rf"""
+WITH RECURSIVE given AS (
+    SELECT *, coalesce('=' || source, '') AS tree, row_number() OVER () AS leaf,
+        coalesce({_crc32_sql("doc_id::VARCHAR")} % 5 = 0, false) AS hit FROM documents
+), hashes AS (
+    SELECT leaf, doc_id, tree, {_encoded_sql("doc_id", "source", "lang", "n_chars", "text")} AS h,
+        {_encoded_sql("doc_id", "source", "lang", "n_chars",
+                      "CASE WHEN hit THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                      "'abcdefghijklmnopqrstuvwxyz') ELSE text END")} AS f
+    FROM given
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos,
+        count(*) OVER (PARTITION BY tree) AS n FROM hashes
+), {_tree_sql("lv", "leaves")}, {_fold_sql("up", "leaves", "lv")}, subroots AS (
+    SELECT tree AS name, h, '/' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+    FROM lv WHERE n = 1
+), {_tree_sql("tv", "subroots")}, arrived AS (
+    SELECT u.leaf, s.tree, s.pos, u.f FROM up u
+    JOIN lv ON lv.tree = u.tree AND lv.level = u.level AND lv.pos = u.pos AND lv.n = 1
+    JOIN subroots s ON s.name = u.tree
+), {_fold_sql("top", "arrived", "tv")}, root AS (SELECT h, level FROM tv WHERE n = 1),
+way AS (
+    SELECT u.leaf, x.level, x.pos, x.h FROM up u JOIN lv x
+        ON x.tree = u.tree AND x.level = u.level AND x.pos // 16 = u.pos // 16 AND x.pos <> u.pos AND x.n > 1
+    UNION ALL
+    SELECT u.leaf, 1000 + x.level, x.pos, x.h FROM top u JOIN tv x
+        ON x.level = u.level AND x.pos // 16 = u.pos // 16 AND x.pos <> u.pos AND x.n > 1
+), proof AS (SELECT leaf, string_agg(h, '' ORDER BY level, pos) AS siblings FROM way GROUP BY leaf)
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, r.h AS root, sha256(coalesce(p.siblings, '')) AS proof_sha256,
+    t.f AS folded_root, t.f = r.h AS verified
+FROM leaves l JOIN subroots s ON s.name = l.tree CROSS JOIN root r
+JOIN top t ON t.leaf = l.leaf AND t.level = r.level LEFT JOIN proof p ON p.leaf = l.leaf
+"""
+
+ORACLE_SQL = {
+    "op6_top_products": OP6_SQL,
+    "op9_benchmark_containment": OP9_SQL,
+    "op13_merkle_proofs": OP13_SQL,
+}
