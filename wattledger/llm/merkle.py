@@ -6,9 +6,10 @@ remains is the group's subroot. Subroots, ordered by group, form the tree of the
 
 Levels are built bottom up, each a sixteenth of the one before. A stored node row holds
 its run of child hashes, its own hash and the key of its parent. A recursive query then
-climbs from the leaves: at every node it appends the siblings it passes and folds the leaf
-that is to be proven into the node's hash. The leaves of one run have the same siblings
-from there on, so they climb in one row, each with a hash of its own.
+climbs for the leaves: at every node it appends the siblings it passes and folds the leaf
+that is to be proven into the node's hash. The 256 leaves of a twig, the two lowest levels,
+have the same siblings above it, so they climb in one row with the hashes they differ in;
+their siblings within the twig are put before those of the climb at the end.
 
 Nodes near the root are on the way of all leaves. Leaves are numbered over the whole table;
 a node row is repeated for each block of numbers below it and a climbing row meets the copy
@@ -20,6 +21,7 @@ Hashes are kept as 32 bytes and hashed as lower-case hexadecimal text.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -28,7 +30,7 @@ from wattledger.llm.common import stored
 #: Children of a node.
 FAN = 16
 #: Leaves in a block of the climb.
-BLOCK = 1024
+BLOCK = 4096
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: The tree above the groups; a group's tree is "" for null, else "=" and its name.
 TOP = "/"
@@ -162,30 +164,67 @@ def _others(children: str, slot: str) -> str:
     return f"concat(substring({children}, 1, 32 * {slot}), substring({children}, 32 * {slot} + 33))"
 
 
+FOLDS = f"""flatten(transform(runs, (r, i) -> transform(r.leaves, (x, j) -> CASE
+    WHEN alone THEN x.given
+    WHEN single THEN {_replaced('r.children', 'j', 'x.given')}
+    ELSE {_replaced('children', 'i', _replaced('r.children', 'j', 'x.given'))} END)))"""
+
 CLIMB = f"""
-WITH RECURSIVE climb (leaves, folds, shared, subroot, hash, block, up_tree, up_level, up_pos, slot) AS (
-    SELECT leaves,
-        transform(leaves, (x, i) -> CASE WHEN alone THEN x.given ELSE {_replaced('children', 'i', 'x.given')} END),
-        unhex(''), CASE WHEN n = 1 THEN hash END, hash, low div {BLOCK}, up_tree, up_level, up_pos, slot
-    FROM {{runs}}
+WITH RECURSIVE climb (twig, folds, shared, subroot, hash, block, up_tree, up_level, up_pos, slot) AS (
+    SELECT low, folds, unhex(''), CASE WHEN n = 1 THEN hash END, hash, low div {BLOCK}, up_tree, up_level, up_pos, slot
+    FROM {{twigs}}
     UNION ALL
-    SELECT c.leaves, transform(c.folds, x -> {_replaced('p.children', 'c.slot', 'x')}),
+    SELECT c.twig, transform(c.folds, x -> {_replaced('p.children', 'c.slot', 'x')}),
         concat(c.shared, {_others('p.children', 'c.slot')}),
         coalesce(c.subroot, CASE WHEN p.n = 1 AND p.tree <> '{TOP}' THEN p.hash END),
         p.hash, c.block, p.up_tree, p.up_level, p.up_pos, p.slot
     FROM climb c JOIN {{nodes}} p
         ON p.tree = c.up_tree AND p.level = c.up_level AND p.pos = c.up_pos AND p.block = c.block
 ), arrived AS (
-    SELECT *, unhex(array_join(transform(leaves, x -> hex(x.leaf)), '')) AS run FROM climb WHERE up_tree IS NULL
-), one AS (
-    SELECT posexplode(arrays_zip(leaves, folds)) AS (i, x), shared, subroot, hash AS root, run FROM arrived
-)
-SELECT x.leaves.id, x.leaves.leaf, subroot, root, concat({_others('run', 'i')}, shared) AS siblings,
-    x.folds AS folded
+    SELECT posexplode(t.runs) AS (i, run), t.children, t.single, t.ways, c.folds, c.shared, c.subroot, c.hash AS root
+    FROM (SELECT * FROM climb WHERE up_tree IS NULL) c JOIN {{twigs}} t ON c.twig = t.low
+), one AS (SELECT *, posexplode(run.leaves) AS (j, leaf) FROM arrived)
+SELECT leaf.id, leaf.leaf, subroot, root, folds[ways[{FAN} * i + j] - 1] AS folded,
+    concat({_others('run.children', 'j')}, CASE WHEN single THEN unhex('') ELSE {_others('children', 'i')} END, shared)
+        AS siblings
 FROM one
 """
 
 
+def _twigs(placed: DataFrame) -> DataFrame:
+    """The two lowest levels: a row for 16 runs of 16 leaves, or what a small tree has.
+
+    A tree of one run has that run's hash (``single``), of one leaf the leaf (``alone``).
+    """
+    within = F.col("place") - F.col("first")
+    runs = placed.groupBy("tree", F.floor(within / FAN).alias("pos")).agg(
+        F.array_sort(F.collect_list(F.struct("place", "id", "leaf", "given"))).alias("leaves"),
+        F.first("members").alias("members"),
+    )
+    bare = lambda x: F.struct(*(x[c].alias(c) for c in ("id", "leaf", "given")))
+    runs = runs.select(
+        "tree", "pos", "members", F.col("leaves")[0]["place"].alias("low"),
+        F.transform("leaves", bare).alias("leaves"), _joined(F.col("leaves.leaf")).alias("children"),
+    )
+    alone, single = F.col("members") == 1, F.col("members") <= FAN
+    hash_of = lambda own: F.coalesce(own, hashed(written(F.col("children"))))
+    runs = runs.withColumn("hash", hash_of(F.when(alone, F.col("children"))))
+    of = F.struct("pos", "children", "hash", "leaves")
+    twigs = runs.groupBy("tree", F.expr(f"pos div {FAN}").alias("up"), "members").agg(
+        F.array_sort(F.collect_list(of)).alias("runs"), F.min("low").alias("low")
+    )
+    twigs = twigs.select(
+        "tree", F.lit(1).alias("level"), F.col("up").alias("pos"),
+        F.expr(f"(members + {FAN * FAN - 1}) div {FAN * FAN}").alias("n"), "low",
+        (F.col("low") + (F.size("runs") - 1) * FAN + F.size(F.element_at("runs", -1)["leaves"])).alias("high"),
+        "runs", _joined(F.col("runs.hash")).alias("children"), single.alias("single"), alone.alias("alone"),
+    )
+    twigs = twigs.withColumn("hash", hash_of(F.when(F.col("single"), F.col("children"))))
+    each = twigs.withColumn("each", F.expr(FOLDS)).withColumn("folds", F.array_distinct("each"))
+    ways = F.expr("transform(each, f -> cast(array_position(folds, f) AS int))")
+    return stored(each.withColumn("ways", ways).drop("each", "alone"), "merkle-twigs")
+
+
 def proofs(leaves: DataFrame) -> DataFrame:
     """Proofs of (group, id, leaf, given): (id, leaf, subroot, root, siblings, folded).
 
@@ -199,28 +238,12 @@ def proofs(leaves: DataFrame) -> DataFrame:
     placed = _placed(
         leaves.select("group", "id", "leaf", "given"), tree, ["id", "leaf", "given"], "merkle-leaves"
     )
-    within = F.col("place") - F.col("first")
-    runs = placed.groupBy("tree", F.floor(within / FAN).alias("pos")).agg(
-        F.array_sort(F.collect_list(F.struct("place", "id", "leaf", "given"))).alias("leaves"),
-        F.first("members").alias("members"),
-    )
-    runs = runs.select(
-        "tree", F.lit(1).alias("level"), "pos", F.expr(f"(members + {FAN - 1}) div {FAN}").alias("n"),
-        F.col("leaves")[0]["place"].alias("low"),
-        (F.col("leaves")[0]["place"] + F.size("leaves")).alias("high"),
-        F.transform("leaves", lambda x: F.struct(x["id"].alias("id"), x["leaf"].alias("leaf"), x["given"].alias("given"))).alias("leaves"),
-        _joined(F.col("leaves.leaf")).alias("children"), (F.col("members") == 1).alias("alone"),
-    )
-    single = F.when(F.col("alone"), F.col("children"))
-    runs = stored(runs.withColumn("hash", F.coalesce(single, hashed(written(F.col("children"))))), "merkle-runs")
-    levels = _levels(runs, 1, "merkle-level")
-    last = [x.filter("n = 1").select("tree", "hash", "low", "high") for x in (runs, *levels)]
-    subroots = last[0]
-    for more in last[1:]:
-        subroots = subroots.unionByName(more)
-    named = subroots.withColumnRenamed("tree", "name")
+    twigs = _twigs(placed)
+    levels = _levels(twigs, 1, "merkle-level")
+    last = [x.filter("n = 1").select("tree", "hash", "low", "high") for x in (twigs, *levels)]
+    subroots = reduce(DataFrame.unionByName, last).withColumnRenamed("tree", "name")
     ranked = stored(
-        _placed(named, F.lit(TOP), ["name"], "merkle-subroots").select(
+        _placed(subroots, F.lit(TOP), ["name"], "merkle-subroots").select(
             F.col("name").alias("tree"), F.col("place").alias("rank"), F.col("members").alias("groups"),
             "hash", "low", "high",
         ),
@@ -230,18 +253,14 @@ def proofs(leaves: DataFrame) -> DataFrame:
         F.lit(TOP).alias("tree"), F.col("rank").alias("pos"), F.col("groups").alias("n"), "low", "high", "hash"
     )
     ranks = ranked.select("tree", "rank", "groups")
-    nodes = None
-    for level in (*levels, *_levels(base, 0, "merkle-top")):
-        linked = _linked(level, ranks, "children")
-        nodes = linked if nodes is None else nodes.unionByName(linked)
-    if nodes is None:  # a single run, or nothing
-        nodes = _linked(runs.filter("false"), ranks, "children")
+    above = [*levels, *_levels(base, 0, "merkle-top")] or [twigs.filter("false")]
+    nodes = reduce(DataFrame.unionByName, (_linked(x, ranks, "children") for x in above))
     blocks = F.sequence(F.expr(f"low div {BLOCK}"), F.expr(f"(high - 1) div {BLOCK}"))
     nodes = stored(nodes.withColumn("block", F.explode(blocks)).drop("low", "high"), "merkle-nodes")
-    anchors = stored(_linked(runs, ranks, "leaves", "children", "alone"), "merkle-anchors")
+    anchors = stored(_linked(twigs, ranks, "runs", "children", "single", "folds", "ways"), "merkle-anchors")
     spark = leaves.sparkSession
     with _any_number_of_rows(spark):
-        return stored(spark.sql(CLIMB, runs=anchors, nodes=nodes), "merkle-proofs")
+        return stored(spark.sql(CLIMB, twigs=anchors, nodes=nodes), "merkle-proofs")
 
 
 def manifest(
