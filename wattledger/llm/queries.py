@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattledger.llm import (
-    containment, merkle, mix, neardup, passages, ring, secrets, stages, tokens, topk, toxicity, warc,
+    alignment, containment, merkle, mix, neardup, passages, ring, secrets, stages, tokens, topk, toxicity, warc,
 )
 from wattledger.llm.common import stored, table
 
@@ -78,6 +78,15 @@ def op10_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of a byte-level BPE aligned with those of a sentencepiece BPE, every document.
+
+    Null and empty texts, and those that a tokenizer doesn't spell, have zeros and "".
+    """
+    vocabularies = (stages.tokenizer_path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), *vocabularies)
+
+
 def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest's proof of every document, some of them tampered with.
 
@@ -94,7 +103,8 @@ QUERIES = {
     for f in (
         op1_token_sequences, op2_bagminhash_classes, op3_ring_shards, op4_mix_sources,
         op5_warc_transactions, op6_top_products, op7_toxic_scores, op8_repeated_passages,
-        op9_benchmark_containment, op10_secret_spans, op13_merkle_proofs,
+        op9_benchmark_containment, op10_secret_spans, op12_token_alignment,
+        op13_merkle_proofs,
     )
 }
 
