@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattledger.llm import (
-    alignment, containment, merkle, mix, neardup, passages, ring, secrets, stages, tokens, topk, toxicity, warc,
+    alignment, containment, linecrf, merkle, mix, neardup, passages, ring, secrets, stages, tokens, topk, toxicity, warc,
 )
 from wattledger.llm.common import stored, table
 
@@ -78,6 +78,19 @@ def op10_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, from a field over its lines.
+
+    ``held_out`` and the rest of a row with a null id: null, and scored all the same.
+    """
+    docs = table(spark, sf_dir, "documents")
+    scored = linecrf.score(docs, linecrf.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", linecrf.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= linecrf.ACCEPTED).cast("int").alias("predicted"),
+    )
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of a byte-level BPE aligned with those of a sentencepiece BPE, every document.
 
@@ -103,8 +116,8 @@ QUERIES = {
     for f in (
         op1_token_sequences, op2_bagminhash_classes, op3_ring_shards, op4_mix_sources,
         op5_warc_transactions, op6_top_products, op7_toxic_scores, op8_repeated_passages,
-        op9_benchmark_containment, op10_secret_spans, op12_token_alignment,
-        op13_merkle_proofs,
+        op9_benchmark_containment, op10_secret_spans, op11_line_quality,
+        op12_token_alignment, op13_merkle_proofs,
     )
 }
 
