@@ -11,10 +11,12 @@ id over all parts and follow each other without gaps.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,63 +25,133 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wattledger.llm.common import fresh_folder, stored
+from wattledger.llm.rolling import chunks
 
 SEQUENCE = 2048
 SEQUENCES_A_BATCH = 64
-#: Words whose ids a worker remembers at most; beyond that it starts anew.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers, twice at most: those that were met since the last
+#: turn outlive it, the others are forgotten.
+REMEMBERED = 250_000
 #: Bytes of text that are encoded together at most, whole words each.
 CHUNK = 4_000_000
+#: Bytes of short texts whose new words are encoded together.
+TOGETHER = 1 << 20
+#: Words of letters that are encoded as one text.
+JOINED = 256
 _ENDINGS = b".,;:!?|"
+# How a tokenizer splits whose words of letters stand alone.
+_LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORD_END = "</w>"
 _encoders: dict[tuple[str, str], WordEncoder] = {}
 
 
+def splits_at_space(spec: dict) -> bool:
+    """Whether a tokenizer drops white space and keeps runs of letters apart, with a mark
+    at the end of each, and normalizes within white space only."""
+    steps = (spec.get("normalizer") or {}).get("normalizers", [])
+    plain = [n for n in steps if n["type"] in ("NFC", "Lowercase")]
+    spaces = [n for n in steps if n["type"] == "Replace" and n["pattern"] == {"Regex": r"\s+"} and n["content"] == " "]
+    split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    return (
+        len(plain) + len(spaces) == len(steps)
+        and split.get("type") == "Split" and split.get("pattern") == {"Regex": _LETTER_RUNS}
+        and split.get("behavior") == "Removed" and split.get("invert") is True
+        and spec["model"].get("end_of_word_suffix") == _WORD_END and spec.get("post_processor") is None
+    )
+
+
 class WordEncoder:
-    """Encodes texts with a tokenizer that drops white space, word by word.
+    """Encodes texts with a tokenizer of the tokenizers library.
 
-    The tokenizer's normalizer and its splitting work within white space and apart from
-    it, so the ids of a text are those of its words one after the other; equal words are
-    encoded once. A run of letters is apart from the ASCII punctuation that follows it.
+    If its normalizer and its splitting work within white space and apart from it
+    (``splits_at_space``), the ids of a text are those of its words one after the other, and
+    equal words are encoded once. A run of letters is apart from the ASCII punctuation that
+    follows it. Texts of any other tokenizer are encoded whole.
     """
 
     def __init__(self, path: str, dtype: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the cores
         from tokenizers import Tokenizer
 
-        self._encode, self._dtype = Tokenizer.from_file(path).encode_batch_fast, dtype
-        self._ids: dict[bytes, bytes] = {}
+        loaded = Tokenizer.from_file(path)
+        self._encode, self._dtype = loaded.encode_batch_fast, np.dtype(dtype)
+        self.by_word = splits_at_space(json.loads(loaded.to_str()))
+        vocabulary = loaded.get_vocab(with_added_tokens=True)
+        self._ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends_word[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
+        self._new: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        found = [e.ids for e in self._encode(texts, add_special_tokens=False)]
+        data = np.fromiter(chain.from_iterable(found), self._dtype).tobytes()
+        ends = (np.cumsum([len(x) for x in found], dtype="i8") * self._dtype.itemsize).tolist()
+        return [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _letter_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters, many of them encoded as one text and cut at the ends."""
+        out, size = [], self._dtype.itemsize
+        groups = [words[lo : lo + JOINED] for lo in range(0, len(words), JOINED)]
+        texts = [" ".join(group) for group in groups]
+        for group, encoding in zip(groups, self._encode(texts, add_special_tokens=False), strict=True):
+            ids = np.array(encoding.ids, dtype=self._dtype)
+            ends = np.flatnonzero(self._ends_word[ids]) + 1
+            if len(ends) != len(group) or ends[-1] != len(ids):  # not what it takes for letters
+                out += self._ids(group)
+                continue
+            data, cuts = ids.tobytes(), (ends * size).tolist()
+            out += [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+        return out
 
     def _learn(self, missing: list[bytes]) -> None:
-        known, parts = self._ids, {}
+        letters: dict[str, bytes] = {}
+        others: dict[str, bytes] = {}
+        parts = []
         for word in missing:
             base = word.rstrip(_ENDINGS)
-            letters = base.decode(errors="replace")
-            if base and letters.isalpha():
-                parts[word] = (base.lower() if base.isascii() else base, word[len(base):])
+            text = base.decode(errors="replace")
+            if base and text.isalpha() and (text.isascii() or text.lower().isalpha()):
+                text, ending = text.lower() if text.isascii() else text, word[len(base) :].decode()
+                letters[text] = b""
+                if ending:
+                    others[ending] = b""
+                parts.append((word, text, ending))
+            else:
+                text = word.decode(errors="replace")
+                others[text] = b""
+                parts.append((word, "", text))
+        letters = dict(zip(letters, self._letter_ids(list(letters)), strict=True))
+        others = dict(zip(others, self._ids(list(others)), strict=True))
+        letters[""] = others[""] = b""
+        for word, base, ending in parts:
+            self._new[word] = letters[base] + others[ending]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of UTF-8 texts, in the byte order and width of the dtype."""
+        if not self.by_word:
+            return self._ids([t.decode(errors="replace") for t in texts])
+        out = []
+        for lo, hi in chunks(texts, TOGETHER):
+            if hi - lo == 1 and len(texts[lo]) > CHUNK:
+                out.append(b"".join(self._of([piece])[0] for piece in _pieces(texts[lo])))
+            else:
+                out += self._of(texts[lo:hi])
+        return out
+
+    def _of(self, texts: list[bytes]) -> list[bytes]:
+        words = [t.split() for t in texts]  # at ASCII white space only
+        new, old, missing = self._new, self._old, []
+        for word in set(chain.from_iterable(words)).difference(new):
+            if (ids := old.get(word)) is None:
+                missing.append(word)
             else:
-                parts[word] = (word, b"")
-        fresh = list(dict.fromkeys(p for pair in parts.values() for p in pair if p and p not in known))
-        texts = [part.decode(errors="replace") for part in fresh]
-        for part, encoding in zip(fresh, self._encode(texts, add_special_tokens=False), strict=True):
-            known[part] = np.array(encoding.ids, dtype=self._dtype).tobytes()
-        for word, (base, ending) in parts.items():
-            if ending or base != word:
-                known[word] = known[base] + (known[ending] if ending else b"")
-
-    def encode(self, text: bytes) -> bytes:
-        """The ids of a UTF-8 text, in the byte order and width of the dtype."""
-        if len(text) <= CHUNK:
-            return self._of(text)
-        return b"".join(self._of(piece) for piece in _pieces(text))
-
-    def _of(self, text: bytes) -> bytes:
-        words, known = text.split(), self._ids  # at ASCII white space only
-        if missing := [w for w in set(words) if w not in known]:
-            if len(known) > REMEMBERED:
-                known.clear()
-                missing = list(set(words))
-            self._learn(missing)
-        return b"".join(map(known.__getitem__, words))
+                new[word] = ids
+        self._learn(missing)
+        found = [b"".join(map(new.__getitem__, w)) for w in words]
+        if len(new) > REMEMBERED:
+            self._old, self._new = new, {}
+        return found
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
@@ -173,10 +245,11 @@ def _writer(folder: str, tokenizer: str, end_id: int, dtype: str, length: int):
             writer = SequenceWriter(sink, dtype, length)
             for batch in batches:
                 counts = []
-                for text in batch.column("text").cast(pa.binary()):
-                    ids = encoder.encode(text.as_py() or b"") + end
-                    counts.append(len(ids) // len(end))
-                    writer.add(ids)
+                texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+                for lo, hi in chunks(texts, CHUNK):
+                    for ids in encoder.encode(texts[lo:hi]):
+                        counts.append(len(ids) // len(end) + 1)
+                        writer.add(ids + end)
                 n_docs += len(counts)
                 index.write_batch(
                     pa.record_batch([batch.column("doc_id"), pa.array(counts, pa.int64())], schema=INDEX)
