@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import math
+import random
+import time
+from collections import Counter
+
 import pytest
 
 from wattledger.llm import secrets
@@ -51,6 +56,36 @@ def test_base_patterns_keep_their_quirks():
     ]
 
 
+@pytest.mark.parametrize(
+    "part", ["token=", "a=", "k:", "x=y=", "a:b=", "your=", "a::b=", "secret:=x", "k=1:", '="', "token=a1b2"]
+)
+def test_runs_of_separators_are_linear(part):
+    """A literal that holds many separators, and the same for each of them."""
+    seconds = []
+    for size in (60_000, 600_000):
+        started = time.perf_counter()
+        secrets.spans(part * (size // len(part)))
+        seconds.append(time.perf_counter() - started)
+    assert seconds[1] < 30 * seconds[0] + 1
+
+
+def test_a_long_constant_is_measured_once():
+    literal = "".join(random.Random(1).choices("abcdefgh0123456789", k=200_000))
+    started = time.perf_counter()
+    found = named(f"a={literal}\n" + "token=a\n" * 20_000)
+    assert found == [literal] and time.perf_counter() - started < 10
+
+
+def test_randomness_of_long_literals():
+    """Entropies found in one walk back are those of each literal by itself."""
+    text = "".join(random.Random(2).choices("abcdef=", k=2000))
+    known = secrets.Randomness(text)
+    for start in (0, 5, 1200, 1990):
+        part = text[start:]
+        bits = -sum(k / len(part) * math.log2(k / len(part)) for k in Counter(part).values())
+        assert known(start, len(text)) == pytest.approx(min(1.0, bits / 3.5))
+
+
 def test_long_texts_are_linear():
     text = "token" + " " * 200_000 + "= " + "a1" * 100_000 + ":" * 50_000
     assert [s[0] for s in secrets.spans(text)].count("hex") == 1

@@ -13,7 +13,9 @@ from __future__ import annotations
 import math
 import re
 import string
+from array import array
 from collections import Counter
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -55,23 +57,66 @@ DECLARING = {"var", "const", "let", "val"}
 LITERAL = re.compile(
     r"[ \t]*(?:\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([^\s\"'`,;(){}\[\]<>]+))"
 )
-IDENTIFIER = re.compile(r"[$]?[A-Za-z_][\w.]*\Z", re.ASCII)
+IDENTIFIER = re.compile(r"[$]?[A-Za-z_][\w.]*", re.ASCII)
 NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-PLACEHOLDER = re.compile(r"(?i)(?:x+|\*+|changeme|example|placeholder|none|null|true|false|todo|your.*|\$\{?\w+\}?)\Z")
+PLACEHOLDER = re.compile(r"(?i)(?:x+|\*+|changeme|example|placeholder|none|null|true|false|todo|\$\{?\w+\}?)")
+#: What a placeholder may begin with, whatever follows.
+YOURS = re.compile("(?i)your")
+DIGIT = re.compile(r"\d")
+#: Literals up to this length are counted one by one; longer ones share the counts of all
+#: that end where they do.
+COUNTED = 256
 
 
-def sensitivity(name: str) -> float:
+@lru_cache(maxsize=1 << 14)
+def _sensitivity(name: str) -> float:
     """0 to 1: how likely the name is to hold a secret."""
     parts = [p.lower() for p in NAME_PARTS.findall(name)]
     return min(1.0, sum(SENSITIVE.get(p, 0.0) for p in set(parts)))
 
 
-def randomness(literal: str) -> float:
-    """0 to 1: bits of entropy a character, as a share of five."""
-    n = len(literal)
-    if n < LEAST_LITERAL or PLACEHOLDER.match(literal):
-        return 0.0
-    return min(1.0, -sum(k / n * math.log2(k / n) for k in Counter(literal).values()) / 3.5)
+def sensitivity(name: str) -> float:
+    return _sensitivity(name) if len(name) <= COUNTED else _sensitivity.__wrapped__(name)
+
+
+class Randomness:
+    """0 to 1 for the literals of a text: bits of entropy a character, as a share of 3.5.
+
+    Literals may end at the same place and begin at many, so the entropies of all that
+    end there are found in one walk back to the first of them.
+    """
+
+    def __init__(self, text: str):
+        self._text = text
+        self._known: dict[tuple[int, int], float] = {}
+        self._bits: dict[int, tuple[int, array]] = {}  # by end: the first start, bits from the end back
+
+    def __call__(self, start: int, end: int) -> float:
+        if (found := self._known.get((start, end))) is None:
+            found = self._known[start, end] = self._of(start, end)
+        return found
+
+    def _of(self, start: int, end: int) -> float:
+        text, n = self._text, end - start
+        if n < LEAST_LITERAL or YOURS.match(text, start, end) or PLACEHOLDER.fullmatch(text, start, end):
+            return 0.0
+        if n <= COUNTED:
+            bits = -sum(k / n * math.log2(k / n) for k in Counter(text[start:end]).values())
+        else:
+            if end not in self._bits or start < self._bits[end][0]:
+                self._bits[end] = start, self._backwards(start, end)
+            bits = self._bits[end][1][n - 1]
+        return min(1.0, bits / 3.5)
+
+    def _backwards(self, start: int, end: int) -> array:
+        counts: Counter = Counter()
+        total, bits = 0.0, array("d")
+        for n, letter in enumerate(reversed(self._text[start:end]), 1):
+            k = counts[letter]
+            counts[letter] = k + 1
+            total += (k + 1) * math.log2(k + 1) - (k * math.log2(k) if k else 0.0)
+            bits.append(math.log2(n) - total / n)
+        return bits
 
 
 def _last_name(text: str) -> tuple[str, str]:
@@ -89,7 +134,7 @@ def _declared(name: str, before: str) -> str:
     if before == (rest := before.rstrip(" \t*&")):
         return ""
     owner = rest[len(rest.rstrip(NAME_CHARACTERS)) :]
-    if not IDENTIFIER.match(owner) or owner in DECLARING:
+    if not IDENTIFIER.fullmatch(owner) or owner in DECLARING:
         return ""
     ahead = rest[: len(rest) - len(owner)].rstrip(" \t")
     word = ahead[len(ahead.rstrip(NAME_CHARACTERS)) :]
@@ -100,9 +145,11 @@ def pairs(text: str):
     """(names, start, end, bare) of every assignment, in order.
 
     The first name is the target. A second one is its type, which may be a name, too. The
-    text between two separators is looked at once, however long names and padding are.
+    text between two separators is looked at once, however long names and padding are, and so
+    is a run of characters that several bare literals end with.
     """
     done = 0
+    run, digit = 0, (-1, -1)  # the end of the last bare literal; its last digit, by its end
     colon = None  # the name of the last colon and where it ends
     held = None  # its pair, until it is known whether its value is a type
     for sep in SEPARATOR.finditer(text):
@@ -111,15 +158,23 @@ def pairs(text: str):
         typed = sep[0] == "=" and colon and TYPE.fullmatch(text, colon[1], sep.start())
         owner = colon[0] if typed else _declared(name, before) if sep[0] == "=" and name else ""
         names = tuple(n for n in (owner, name) if n)
-        value = LITERAL.match(text, sep.end()) if names else None
-        group = value.lastindex if value else None
-        pair = (names, value.start(group), value.end(group), group == 4) if value else None
+        if not names:
+            pair = None
+        elif done < run:  # the rest of a bare literal is one, too
+            pair = (names, done, run, True)
+        else:
+            value = LITERAL.match(text, done)
+            group = value.lastindex if value else None
+            pair = (names, value.start(group), value.end(group), group == 4) if value else None
+            run = value.end() if group == 4 else run
         if colon and sep[0] == ":" and (text.startswith(":", done) or text.endswith(":", 0, sep.start())):
             if pair:  # of a "::", maybe within a type
                 yield pair
             continue
         if held and typed:  # a type is no constant, and no literal before a quoted one
-            if not (pair and not pair[3]) or any(map(str.isdigit, text[held[1] : held[2]])):
+            if digit[0] != held[2]:
+                digit = held[2], max((m.start() for m in DIGIT.finditer(text, held[1], held[2])), default=-1)
+            if not (pair and not pair[3]) or digit[1] >= held[1]:
                 yield (*held[:3], False)
         elif held:
             yield held
@@ -136,14 +191,15 @@ def named_spans(text: str) -> list[tuple[str, int, int, float]]:
     """(name, start, end, score) of literals whose targets are sensitive."""
     constants: dict[str, tuple[int, int]] = {}
     best: dict[tuple[int, int], tuple[float, str]] = {}
+    randomness = Randomness(text)
     for names, start, end, bare in pairs(text):
-        at, literal = (start, end), text[start:end]
-        if bare and IDENTIFIER.match(literal) and literal.lstrip("$") in constants:
-            at = constants[literal.lstrip("$")]
+        at = (start, end)
+        if bare and (named := IDENTIFIER.fullmatch(text, start, end)):
+            at = constants.get(named[0].lstrip("$"), at)
         constants[names[0].lstrip("$")] = at
         for name in names:
             if sensitive := sensitivity(name):
-                score = sensitive * randomness(text[at[0] : at[1]])
+                score = sensitive * randomness(*at)
                 if score >= REPORTED:
                     best[at] = max(best.get(at, (0.0, "")), (score, name))
     return [(name, a, b, score) for (a, b), (score, name) in best.items()]
