@@ -11,7 +11,6 @@ logistic regression of these counts gives the score.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,12 +34,28 @@ REJECT_SCORE = 0.7
 #: Words whose match a worker remembers at most.
 REMEMBERED = 150_000
 
-EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 QUOTE_MARKS = "\"“”„«»"
 REPORTING = frozenset("said says wrote writes quote quoted called calling claimed asked replied".split())
 ADDRESS = frozenset("you your you're u tu vous toi du dich ihr tú usted eres".split())
 
 
+def core(word: str) -> str:
+    """The word from its first to its last letter; both ends are looked at once."""
+    if word.isalpha():
+        return word
+    start, end = 0, len(word)
+    while start < end and not _is_letter(word[start]):
+        start += 1
+    while end > start and not _is_letter(word[end - 1]):
+        end -= 1
+    return word[start:end]
+
+
+def _is_letter(c: str) -> bool:
+    """Letters, and what counts like them in words: no digits, marks or underscores."""
+    return c.isalnum() and not c.isdecimal()
+
+
 def edits_allowed(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
@@ -133,7 +148,7 @@ class FuzzyLexicon:
                 known.clear()
                 missing = set(words)
             for word in missing:
-                found = self._walk(EDGES.sub("", word)) if self.terms else None
+                found = self._walk(core(word)) if self.terms else None
                 known[word] = found
         return [(i, f[1], f[0]) for i, f in enumerate(map(known.__getitem__, words)) if f]
 
@@ -158,8 +173,8 @@ def contexts(words: list[str], found: list[tuple[int, int, int]], terms: list[st
         low = max(0, position - CONTEXT)
         before, own, after = words[low:position], words[position], words[position + 1 : position + 1 + CONTEXT]
         marks = lambda part: sum(w.count(q) for w in part for q in QUOTE_MARKS)
-        around = {EDGES.sub("", w) for w in before + after}
-        preceding = {EDGES.sub("", w) for w in before}
+        around = {core(w) for w in before + after}
+        preceding = {core(w) for w in before}
         quoted = marks([own]) >= 2 or (marks(before) % 2 == 1 and marks([own, *after]) > 0) or bool(
             preceding & REPORTING
         )
@@ -215,7 +230,7 @@ def _word_counts(batches):
         for text, toxic in zip(batch.column("text"), batch.column("toxic"), strict=True):
             bad = toxic.as_py()
             terms = set()
-            for word in {EDGES.sub("", w) for w in set(_split(text.as_py()))}:
+            for word in {core(w) for w in set(_split(text.as_py()))}:
                 if 3 <= len(word) <= 40:
                     terms.add(word)
                     terms.update(word[:n] for n in STEM_LETTERS if n < len(word))
