@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import itertools
+import time
 
 import pytest
 
-from wattledger.llm import toxicity
+from wattledger.llm import labelled, toxicity
 from wattledger.llm.common import table
 from tests.llm.conftest import prose
 
@@ -93,3 +94,33 @@ def test_fit_bound_is_kept(spark, documents):
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
     fitted = toxicity.fit(docs, labels, most=120)
     assert any("vilewordly".startswith(t) for t in fitted.odds)
+
+
+def test_one_id_with_most_rows_has_its_share_only(spark, documents):
+    """The bound holds for rows, not ids, and repeated rows count once."""
+    docs = documents([(0, f"vilewordly {i}") for i in range(300)] + [(i, f"plain words {i}") for i in range(1, 60)] * 3)
+    labels = spark.createDataFrame([(i, int(i == 0)) for i in range(60)], "doc_id long, toxic int")
+    marked = labels.withColumnRenamed("doc_id", "id")
+    assert labelled.sampled(docs, marked, "toxic", 100, seed=7).count() == 100
+    assert labelled.sampled(docs, marked, "toxic", 1000, seed=7).count() == 359
+    again = labelled.sampled(docs.repartition(5), marked, "toxic", 100, seed=7)
+    want = {r["text"] for r in labelled.sampled(docs, marked, "toxic", 100, seed=7).collect()}
+    assert {r["text"] for r in again.collect()} == want
+
+
+def test_long_words_become_terms_by_their_beginnings(spark, documents):
+    docs = documents([(i, ("vile" + "x" * 60 + str(i)) if i % 2 else f"word plain{i}") for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    fitted = toxicity.fit(docs, labels)
+    assert list(fitted.odds) == ["vilexxxx"]
+
+
+def test_word_edges():
+    for word, want in (("--a_b--", "a_b"), ("123", ""), ("_ü9", "ü"), ("", ""), ("don't!", "don't"), ("Ⅷ٣²", "Ⅷ٣²")):
+        assert toxicity.core(word) == want
+    lexicon = toxicity.FuzzyLexicon(["abab", "cabbages"])
+    started = time.perf_counter()
+    for word in ("a" + "1" * 1_000_000 + "b", "1" * 1_000_000, "#" * 1_000_000 + "a", "a" + "_" * 1_000_000):
+        assert lexicon.hits([word]) == []
+        toxicity.contexts(["x", word, "y"], [(1, 0, 0)], ["abab"])
+    assert time.perf_counter() - started < 10

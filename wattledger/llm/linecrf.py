@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wattledger.llm import rolling
 from wattledger.llm.common import stored
+from wattledger.llm.labelled import sampled
 from wattledger.llm.toxicity import logistic
 
 #: Labelled documents, and lines of them, that the model is fitted on at most.
@@ -283,17 +284,7 @@ def sample(docs: DataFrame, labels: DataFrame, most: int, most_lines: int) -> li
         F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality")
     ).filter(F.col("quality").isin(0, 1) & ~held_out(F.col("id")))
     marked = marked.groupBy("id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
-    marked = stored(marked.filter("quality = other").drop("other"), "quality-labels")
-    n = marked.count()
-    if n > 2 * most:  # of ids that may have several texts or none
-        part = int(2 * most / n * (1 << 32))
-        marked = marked.filter(F.shiftrightunsigned(F.xxhash64(F.lit(11), "id"), 32) < part)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("text") != "")
-    rows = rows.join(marked, F.col("doc_id") == F.col("id"))
-    order = F.xxhash64(F.lit(13), "id", "text")
-    rows = stored(rows.select(order.alias("order"), "quality", "text"), "quality-rows")
-    chosen = stored(rows.select(F.col("order").alias("at")).distinct().orderBy("at").limit(most), "quality-sample")
-    texts = rows.join(chosen, F.col("order") == F.col("at")).drop("at").dropDuplicates(["order"])
+    texts = sampled(docs, marked.filter("quality = other").drop("other"), "quality", most, seed=11)
     made = stored(
         texts.mapInArrow(_sampled, "order long, quality int, n_lines long, x binary, w binary"), "quality-lines"
     )

@@ -18,16 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wattledger.llm.common import stored
+from wattledger.llm.labelled import sampled
 
-#: Labelled rows that the model is fitted on at most, chosen by a hash of their id.
+#: Labelled rows that the model is fitted on at most, chosen by a hash of id and text.
 FIT_ROWS = 10_000
-#: Terms that are looked at for the lexicon at most, and the share of the best term's
-#: evidence that each must have.
-LEXICON_TERMS = 2000
+#: The share of the best term's evidence that each term must have.
 EVIDENCE_SHARE = 0.05
 LEAST_EVIDENCE = 8.0
-#: Letters of the beginnings that may become terms; whole words may be longer.
+#: Letters of the beginnings that may become terms, and of whole words. Longer words are
+#: found by their beginnings.
 STEM_LETTERS = range(4, 9)
+TERM_LETTERS = range(3, 41)
 #: Words on either side of a hit that are its context.
 CONTEXT = 8
 REJECT_SCORE = 0.7
@@ -185,8 +186,6 @@ def contexts(words: list[str], found: list[tuple[int, int, int]], terms: list[st
 FEATURES = (
     "any_exact", "any_misspelt", "weight", "exact", "misspelt", "quoted", "addressed", "densest", "rate",
 )
-#: The weight of a document's hits is counted up to this.
-MOST_WEIGHT = 20.0
 
 
 def features(n_words: int, hits: list[Hit], odds: dict[str, float]) -> list[float]:
@@ -202,7 +201,7 @@ def features(n_words: int, hits: list[Hit], odds: dict[str, float]) -> list[floa
     counts = (exact, len(open_hits) - exact, len(hits) - len(open_hits), sum(h.addressed for h in hits), densest)
     logs = [float(np.log1p(c)) for c in counts]
     rate = float(np.log1p(100 * len(hits) / n_words)) if n_words else 0.0
-    weight = min(MOST_WEIGHT, sum(odds[h.term] for h in open_hits))
+    weight = float(sum(odds[h.term] for h in open_hits))
     return [float(exact > 0), float(counts[1] > 0), weight, *logs, rate]
 
 
@@ -231,9 +230,9 @@ def _word_counts(batches):
             bad = toxic.as_py()
             terms = set()
             for word in {core(w) for w in set(_split(text.as_py()))}:
-                if 3 <= len(word) <= 40:
+                if len(word) in TERM_LETTERS:
                     terms.add(word)
-                    terms.update(word[:n] for n in STEM_LETTERS if n < len(word))
+                terms.update(word[:n] for n in STEM_LETTERS if n < len(word))
             for term in terms:
                 seen.setdefault(term, [0, 0])[1 - bad] += 1
         yield pa.RecordBatch.from_pydict(
@@ -258,20 +257,22 @@ def learn_terms(rows: DataFrame, n_toxic: int, n_others: int) -> dict[str, float
     ).otherwise(0.0)
     evidence = 2 * (part(F.col("a"), n_toxic / total) + part(F.col("b"), n_others / total))
     purer = F.col("a") * n_others > 3 * F.col("b") * n_toxic
+    found = counts.filter(purer & (F.col("a") >= 2)).select("word", "a", "b", evidence.alias("evidence"))
+    found = stored(found, "toxic-terms")
+    top = found.agg(F.max("evidence")).first()[0]
+    if top is None:
+        return {}
+    least = max(LEAST_EVIDENCE, EVIDENCE_SHARE * top)
+    # Few: each explains a share of the toxic documents.
     best = (
-        counts.filter(purer & (F.col("a") >= 2))
-        .select("word", "a", "b", evidence.alias("evidence"))
+        found.filter(F.col("evidence") >= least)
         .orderBy(F.desc("evidence"), F.desc(F.length("word")), "word")
-        .limit(LEXICON_TERMS)
         .collect()
     )
-    if not best:
-        return {}
-    least = max(LEAST_EVIDENCE, EVIDENCE_SHARE * best[0]["evidence"])
     chosen: dict[str, float] = {}
     for r in best:
         word = r["word"]
-        if r["evidence"] >= least and not any(t.startswith(word) or word.startswith(t) for t in chosen):
+        if not any(t.startswith(word) or word.startswith(t) for t in chosen):
             odds = (r["a"] + 0.5) / (r["b"] + 0.5) * (n_others + 0.5) / (n_toxic + 0.5)
             chosen[word] = float(np.log(odds))
     return chosen
@@ -319,25 +320,17 @@ def held_out(doc_id) -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
-    """A model of the labelled documents that are not held out, ``most`` of them at most.
+    """A model of labelled documents that are not held out, ``most`` of them at most.
 
-    Rows without a label or id teach nothing. Without toxic or without other rows the
+    Rows without a label, id or text teach nothing, and rows that repeat id and text count
+    once; long texts are read whole. Without toxic or without other rows the
     lexicon is empty and every score is the share of toxic rows, 0 without any rows.
     """
     marked = labels.select(
         F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")
     ).filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("id")))
-    marked = stored(marked.groupBy("id").agg(F.max("toxic").alias("toxic")), "toxic-labels")
-    n = marked.count()
-    if n > most:  # a share of the ids by a hash, so that the choice depends on nothing else
-        share = int(most / n * (1 << 32))
-        marked = marked.filter(F.shiftrightunsigned(F.xxhash64(F.lit(7), "id"), 32) < share)
-    rows = stored(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(F.broadcast(marked), F.col("doc_id") == F.col("id"))  # of FIT_ROWS rows or so
-        .select("text", "toxic"),
-        "toxic-training",
-    )
+    marked = marked.groupBy("id").agg(F.max("toxic").alias("toxic"))
+    rows = stored(sampled(docs, marked, "toxic", most, seed=7), "toxic-training")
     seen = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
     bad, good = seen["bad"], seen["n"] - seen["bad"]
     if not bad or not good:
