@@ -33,11 +33,12 @@ from wattledger.llm.common import stored
 CHUNK_BYTES = 1 << 21
 CHUNK_ROWS = 5000
 #: Pieces a worker remembers, twice at most: those met since the last turn outlive it.
-REMEMBERED = 100_000
+REMEMBERED = 150_000
 #: Longer pieces are not remembered.
 SHORT = 64
-#: Pieces that are encoded and aligned together.
-TOGETHER = 20_000
+#: Pieces that are aligned together, and that are encoded as one text.
+TOGETHER = 25_600
+JOINED = 128
 #: Groups of more pairs of tokens are counted by their distinct ids.
 LAID_OUT = 64
 
@@ -59,24 +60,29 @@ def byte_alphabet() -> dict[str, int]:
 class Side:
     """The tokens of some pieces by one tokenizer, one after the other.
 
-    ``start`` and ``end`` are byte spans in the joined pieces, ``piece`` the piece of a token.
+    ``start`` and ``end`` are byte spans in the joined pieces, ``text`` is the encoded text of
+    a token: one piece, or several that follow each other. ``inner`` and ``edges`` are the
+    places at which texts and pieces begin, and the end.
     """
 
-    def __init__(self, ids, start, end, piece, edges: np.ndarray, table: list[bytes], lengths: np.ndarray):
-        self.ids, self.piece = ids, piece
+    def __init__(self, ids, start, end, text, inner: np.ndarray, edges: np.ndarray, table: list[bytes], lengths: np.ndarray):
+        self.ids, n = ids, len(edges) - 1
         length = lengths[ids]
-        first = np.searchsorted(piece, np.arange(len(edges) - 1))
+        first = np.searchsorted(text, np.arange(len(inner) - 1))
         spelled = np.cumsum(length)
         before = np.concatenate([[0], spelled])[first]
-        spelled += (edges[:-1] - before)[piece]
-        following = np.append(start[1:], edges[-1:])
+        spelled += (inner[:-1] - before)[text]
         # Several tokens share a character: their spans are empty or reach into the next.
-        unclear = (end == start) | (following < end)
+        unclear = (end == start) | (np.append(start[1:], edges[-1:]) < end)
         self.end = np.where(unclear, spelled, end)
-        upto = np.concatenate([edges[:1], self.end[:-1]])[: len(ids)]
-        begin = np.where(np.isin(np.arange(len(ids)), first), edges[:-1][piece], upto)
-        own = np.bincount(piece, length, len(edges) - 1) == np.diff(edges)
-        np.logical_and.at(own, piece, self.end - begin == length)
+        begin = np.concatenate([edges[:1], self.end[:-1]])[: len(ids)]
+        opens = first[first < len(ids)]
+        begin[opens] = inner[:-1][text[opens]]
+        self.piece = text if len(inner) == len(edges) else np.clip(np.searchsorted(edges, self.end) - 1, 0, n - 1)
+        if np.any(self.piece[1:] < self.piece[:-1]):  # spans that don't fit the text at all
+            self.piece, begin = np.sort(self.piece), np.full(len(ids), -1)
+        own = np.bincount(self.piece, length, n) == np.diff(edges)
+        np.logical_and.at(own, self.piece, (self.end - begin == length) & (begin >= edges[self.piece]))
         self.fits = own
         self.spelled = b"".join(map(table.__getitem__, ids.tolist()))
 
@@ -174,35 +180,50 @@ class Aligner:
 
     def _align(self, pieces: list[str]) -> list[tuple | None]:
         """(tokens of A, of B, groups, links, the groups written, (pair, links) as bytes)
-        of each piece; None where a tokenizer doesn't spell it."""
-        out = []
-        for lo in range(0, len(pieces), TOGETHER):
-            out += self._some(pieces[lo : lo + TOGETHER])
-        return out
-
-    def _some(self, pieces: list[str]) -> list[tuple | None]:
-        encoded = self._a.encode_batch(pieces, add_special_tokens=False)
+        of each piece; None where a tokenizer doesn't spell it.
+
+        Pieces that end in a character are encoded many at once, since both tokenizers cut
+        between them. Where that didn't come out even, they are encoded one by one.
+        """
+        found: dict[str, tuple | None] = {}
+        ready = [p for p in pieces if not p[-1].isspace()] if self.parts else []
+        for lo in range(0, len(ready), TOGETHER):
+            some = ready[lo : lo + TOGETHER]
+            found.update(zip(some, self._some(some, JOINED), strict=True))
+        single = [p for p in pieces if found.get(p) is None]
+        for lo in range(0, len(single), TOGETHER):
+            some = single[lo : lo + TOGETHER]
+            found.update(zip(some, self._some(some, 1), strict=True))
+        return [found[p] for p in pieces]
+
+    def _some(self, pieces: list[str], joined: int) -> list[tuple | None]:
+        texts = ["".join(pieces[lo : lo + joined]) for lo in range(0, len(pieces), joined)]
+        encoded = self._a.encode_batch(texts, add_special_tokens=False)
         others = self._b.encode(
-            [p[1:] for p in pieces], return_type="offset_mapping", return_bytes=True, num_threads=1
+            [t[1:] for t in texts], return_type="offset_mapping", return_bytes=True, num_threads=1
         )
-        text, count_of = "".join(pieces), np.arange(len(pieces))
-        raw = text.encode()
-        codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+        whole, which = "".join(texts), np.arange(len(texts))
+        raw = whole.encode()
+        codes = np.frombuffer(whole.encode("utf-32-le"), dtype="<u4")
         wide = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000).astype("i8")
         byte_at = np.concatenate([[0], np.cumsum(wide)])
         chars = np.concatenate([[0], np.cumsum(np.fromiter(map(len, pieces), "i8", len(pieces)))])
         edges = byte_at[chars]
+        chars = np.append(chars[:-1:joined], chars[-1:])
+        inner = byte_at[chars]
         flat = lambda x: np.fromiter(chain.from_iterable(x), "i8")
-        ids, spans = flat(e.ids for e in encoded), flat(chain.from_iterable(e.offsets for e in encoded))
-        piece = np.repeat(count_of, [len(e.ids) for e in encoded])
+        each = [e.ids for e in encoded]
+        ids, spans = flat(each), flat(chain.from_iterable(e.offsets for e in encoded))
+        text = np.repeat(which, [len(x) for x in each])
         a = Side(
-            ids, byte_at[chars[piece] + spans[0::2]], byte_at[chars[piece] + spans[1::2]], piece, edges,
+            ids, byte_at[chars[text] + spans[0::2]], byte_at[chars[text] + spans[1::2]], text, inner, edges,
             self._bytes_a, self._lengths_a,
         )
-        ids, spans = flat(e["ids"] for e in others), flat(chain.from_iterable(e["offsets"] for e in others))
-        piece = np.repeat(count_of, [len(e["ids"]) for e in others])
-        start = edges[piece] + 1  # after the space that B adds
-        b = Side(ids, start + spans[0::2], start + spans[1::2], piece, edges, self._bytes_b, self._lengths_b)
+        each = [e["ids"] for e in others]
+        ids, spans = flat(each), flat(chain.from_iterable(e["offsets"] for e in others))
+        text = np.repeat(which, [len(x) for x in each])
+        start = inner[text] + 1  # after the space that B adds
+        b = Side(ids, start + spans[0::2], start + spans[1::2], text, inner, edges, self._bytes_b, self._lengths_b)
         good = a.agrees(raw, edges, self._lengths_a) & b.agrees(raw, edges, self._lengths_b)
         a.only(good)
         b.only(good)
