@@ -323,7 +323,24 @@ def demand_factor(hour: str) -> str:
     return f"CAST(CAST(CAST({shape} AS DECIMAL(12,8)) AS DECIMAL(12,4)) AS DOUBLE)"
 
 
+SETTLED_SPAN = "sim_day < DATE '2024-01-20'"
+
 BODIES = {
+    "settled_bills": f"SELECT {BILL_OUT}, 'settle-1' AS batch_run_id FROM settled",
+    "settled_zones": f"SELECT *, 'settle-1' AS batch_run_id FROM zd WHERE {SETTLED_SPAN}",
+    "settled_checks": f"""
+        SELECT sim_day, check_name, passed, failed, ratio, 'settle-1' AS run_id,
+          'billing_reconciliation' AS job_name, 'batch' AS stage FROM dq WHERE {SETTLED_SPAN}""",
+    "settled_runs": """
+        SELECT 'settle-1' AS run_id, 'batch' AS layer, 'billing_reconciliation' AS job_name,
+          (SELECT min(sim_date) FROM rd) AS sim_day, 'SUCCESS' AS status,
+          (SELECT CAST(sum(records_read) AS BIGINT) FROM stats WHERE sim_date < DATE '2024-01-20') AS records_in,
+          (SELECT count(*) FROM settled) AS records_out, FALSE AS has_error
+        UNION ALL
+        SELECT 'settle-2', 'batch', 'billing_reconciliation', (SELECT min(sim_date) FROM rd), 'FAILED',
+          CAST(0 AS BIGINT), CAST(0 AS BIGINT), TRUE""",
+    "pending_from_folders": "SELECT sim_date FROM pending",
+    "report_csv": f"SELECT {REPORT_OUT} FROM {RANKED} r WHERE r.{SETTLED_SPAN}",
     "stream_zone_window": f"SELECT {ZL_OUT.replace('active_meters, ', '')} FROM zl",
     "stream_zone_alerts": f"""
         SELECT {ALERT_OUT} FROM low UNION ALL

@@ -82,6 +82,27 @@ def clean_stats(readings: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     )
 
 
+def delivered(readings: DataFrame) -> DataFrame:
+    """Per day: readings delivered, and those with an event id."""
+    return readings.groupBy("sim_date").agg(
+        F.count(F.lit(1)).alias("records_read"), F.count("event_id").alias("with_id")
+    )
+
+
+def stats_of(flagged: DataFrame, counts: DataFrame) -> DataFrame:
+    """``clean_stats`` from rows that are de-duplicated already and the delivered counts."""
+    kept = flagged.groupBy(F.col("sim_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("events"), F.count_if("billable").alias("valid")
+    )
+    events, valid = (F.coalesce(F.col(c), F.lit(0)) for c in ("events", "valid"))
+    return counts.join(kept, F.col("sim_date").eqNullSafe(F.col("day")), "left").select(
+        "sim_date", "records_read",
+        (F.col("with_id") - events).alias("duplicates_removed"),
+        (F.col("records_read") - F.col("with_id") + events - valid).alias("rejected"),
+        valid.alias("records_valid"),
+    )
+
+
 def household_solar_median(cleaned: DataFrame) -> DataFrame:
     """Median solar reading of each household and day, one row per zone it reported in.
 

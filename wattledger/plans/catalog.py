@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wattledger.operators import (
     alerts, billing, clean, days, expected, live, parse, quality, serving, zones,
 )
+from wattledger.plans.installation import INSTALLATION_QUERIES
 from wattledger.plans.reconcile import FLAGGED_COLUMNS, priced_households
 from wattledger.plans.replay import STREAM_QUERIES
 from wattledger.schemas import RUN_LAYERS, RUN_STATUSES, SEVERITIES, Limits
@@ -468,4 +469,4 @@ def presented(query: Query) -> Query:
 
 
 def catalog() -> dict[str, Query]:
-    return {n: presented(q) for n, q in {**BATCH_QUERIES, **STREAM_QUERIES}.items()}
+    return {n: presented(q) for n, q in {**BATCH_QUERIES, **STREAM_QUERIES, **INSTALLATION_QUERIES}.items()}

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattledger.operators import billing, clean, days, quality, serving, zones
-from wattledger.plans import tables
+from wattledger.plans import commits, tables
 from wattledger.schemas import BILL_COLUMNS, LIMITS, Limits
 from wattledger.session import Scratch, pin_utc
 from wattledger.sources import files
@@ -41,6 +42,7 @@ class Layout:
     batch_zone_daily = property(lambda self: self.table("batch_zone_daily"))
     ops_pipeline_runs = property(lambda self: self.table("ops_pipeline_runs"))
     ops_dq_metrics = property(lambda self: self.table("ops_dq_metrics"))
+    ops_commits = property(lambda self: self.table("ops_commits"))
     reports = property(lambda self: self.table("reports"))
 
 
@@ -76,20 +78,27 @@ def require_constraints(bills: DataFrame) -> None:
 def find_pending_days(spark: SparkSession, layout: Layout) -> DataFrame:
     """Complete, archived and not yet billed days, oldest first.
 
-    Directory names tell what was published and archived; a day counts as billed once
-    it has a bill row.
+    Folder names tell what was published and archived, commits what was billed: a day
+    counts as billed once it has a bill row. No reading and no bill is read.
     """
-    billed = files.partition_days(spark, layout.batch_household_bill, key="sim_day")
-    if not billed.isEmpty():
-        bills = spark.read.parquet(layout.batch_household_bill)
-        billed = bills.select(F.col("sim_day").alias("sim_date")).distinct()
     return days.pending_days(
         files.partition_days(spark, layout.tariffs, marker="_SUCCESS"),
         files.partition_days(spark, layout.meter_readings),
-        billed,
+        commits.billed_days(commits.commits(spark, layout.ops_commits)),
     )
 
 
+def settled(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    """Bills (``batch_household_bill``) or zone rows (``batch_zone_daily``) as committed."""
+    return commits.committed(spark, layout.table(table), layout.ops_commits)
+
+
+def settled_checks(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The checks of the runs that count."""
+    checks = spark.read.parquet(layout.ops_dq_metrics)
+    return commits.committed_checks(checks, commits.commits(spark, layout.ops_commits))
+
+
 def settle_days(
     spark: SparkSession,
     layout: Layout,
@@ -97,11 +106,14 @@ def settle_days(
     last_day: date | None = None,
     run_id: str | None = None,
     limits: Limits = LIMITS,
+    gate: Callable[[DataFrame], None] | None = None,
 ) -> str:
     """Settle one day or a range of days in one set of jobs and store the results.
 
-    The de-duplicated rows are stored once and feed every later step. Running the same
-    days again replaces their bills and zone rows; checks and audit rows are appended.
+    The de-duplicated rows are stored once and feed every later step. Bills, zone rows and
+    checks become visible together, by the commit at the end (``commits``): a run that fails
+    anywhere before leaves what readers see as it was. ``gate`` gets the bills before the
+    commit and refuses them by raising. Running the same days again replaces them.
     """
     pin_utc(spark)
     last_day = last_day or first_day
@@ -117,7 +129,7 @@ def settle_days(
 
     audit("RUNNING")
     try:
-        read, written = _settle(spark, layout, first_day, last_day, run_id, limits)
+        read, written = _settle(spark, layout, first_day, last_day, run_id, limits, gate)
     except Exception as exc:
         audit("FAILED", duration_s=seconds(), error=str(exc))
         raise
@@ -125,14 +137,14 @@ def settle_days(
     return run_id
 
 
-def _settle(spark, layout, first_day, last_day, run_id, limits) -> tuple[int, int]:
+def _settle(spark, layout, first_day, last_day, run_id, limits, gate) -> tuple[int, int]:
     readings = files.read_archive(spark, layout.meter_readings, first_day, last_day)
     tariffs = files.read_tariffs(spark, layout.tariffs, first_day, last_day)
     weather = files.read_weather(spark, layout.weather, first_day, last_day)
     dim = files.read_dim_household(spark, path=layout.dim_household)
     require_unique(tariffs, "sim_date", "household_id")
     require_unique(weather, "sim_date", "grid_zone")
-    wanted = _days(first_day, last_day)
+    wanted, folder = _days(first_day, last_day), commits.new_folder(run_id)
     stamps = {"batch_run_id": F.lit(run_id), "computed_at": F.current_timestamp()}
 
     with Scratch(spark) as scratch:
@@ -146,14 +158,18 @@ def _settle(spark, layout, first_day, last_day, run_id, limits) -> tuple[int, in
 
         bills = billing.bill_table(priced)
         require_constraints(bills)
-        tables.overwrite_days(
-            bills.withColumns(stamps), layout.batch_household_bill, wanted,
+        in_days = F.col("sim_day").isin(wanted)
+        commits.write_run(
+            bills.withColumns(stamps).filter(in_days), layout.batch_household_bill, folder,
             sort_by=("grid_zone", "household_id"),
         )
         zone_rows = zones.zone_daily(flagged, priced, weather, dim).withColumns(stamps)
-        tables.overwrite_days(zone_rows, layout.batch_zone_daily, wanted, sort_by=("grid_zone",))
+        commits.write_run(
+            zone_rows.filter(in_days), layout.batch_zone_daily, folder, sort_by=("grid_zone",)
+        )
 
-        stats = scratch.settle(clean.clean_stats(readings, limits), "stats")
+        # The events were de-duplicated above; of the archive, only two counts are missing.
+        stats = scratch.settle(clean.stats_of(flagged, clean.delivered(readings)), "stats")
         checks = quality.dq_rows(stats, billing.tariff_coverage(priced)).withColumns(
             {
                 "run_id": F.lit(run_id),
@@ -164,7 +180,17 @@ def _settle(spark, layout, first_day, last_day, run_id, limits) -> tuple[int, in
         )
         tables.append_rows(checks, layout.ops_dq_metrics)
         read = stats.agg(F.sum("records_read").alias("read")).first().read or 0
-        return read, bills.count()
+    written = {
+        count: commits.staged(spark, layout.table(table), folder)
+        for table, count in commits.COUNTED.items()
+    }
+    if gate:
+        gate(written["bills"])
+    commits.commit(spark, layout.ops_commits, run_id, folder, wanted, **written)
+    commits.remove_superseded(
+        spark, layout.ops_commits, [layout.table(t) for t in commits.COUNTED], wanted
+    )
+    return read, written["bills"].count()
 
 
 def coverage(
@@ -174,11 +200,26 @@ def coverage(
     """A gate row for each day asked for; a day without any bill fails at 0 %."""
     wanted = _days(first_day, last_day or first_day)
     asked = spark.createDataFrame([(d,) for d in wanted], "sim_day date")
-    bills = spark.read.parquet(layout.batch_household_bill).filter(F.col("sim_day").isin(wanted))
+    bills = settled(spark, layout, "batch_household_bill").filter(F.col("sim_day").isin(wanted))
     households = spark.read.parquet(layout.dim_household).count()
     return quality.coverage_gate(bills, households, limits, days=asked)
 
 
+def coverage_at_least(
+    spark: SparkSession, layout: Layout, days: list[date], limits: Limits = LIMITS
+) -> Callable[[DataFrame], None]:
+    """A gate for ``settle_days`` that holds back runs which bill too few households."""
+
+    def gate(bills: DataFrame) -> None:
+        asked = spark.createDataFrame([(d,) for d in days], "sim_day date")
+        households = spark.read.parquet(layout.dim_household).count()
+        rows = quality.coverage_gate(bills, households, limits, days=asked)
+        if failed := rows.filter(~F.col("passed")).collect():  # one row per day
+            raise ValueError("; ".join(f"{r.sim_day}: {r.coverage_pct} % billed" for r in failed))
+
+    return gate
+
+
 def require_coverage(
     spark: SparkSession, layout: Layout, first_day: date, last_day: date | None = None
 ) -> None:
@@ -203,7 +244,7 @@ def publish_report(
     """Export the ranked bills of settled days as CSV."""
     last_day = last_day or first_day
     wanted = _days(first_day, last_day)
-    bills = spark.read.parquet(layout.batch_household_bill).filter(F.col("sim_day").isin(wanted))
+    bills = settled(spark, layout, "batch_household_bill").filter(F.col("sim_day").isin(wanted))
     if bills.isEmpty():
         raise ValueError(f"no bills from {first_day} to {last_day} to report")
     tables.export_report(serving.billing_report(bills), layout.reports, wanted)

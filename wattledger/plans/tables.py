@@ -79,6 +79,31 @@ def publish_daily_files(tariffs: DataFrame, weather: DataFrame, root: str, day:
         )
 
 
+def publish_days(
+    tariffs: DataFrame, weather: DataFrame, root: str, days: list[date]
+) -> None:
+    """Write the files of many days in two jobs, both by ``sim_date``, then the markers.
+
+    Only ``days`` are marked as complete, each after all files are there; days that were
+    published before and are not among the rows stay as they are.
+    """
+    spark = tariffs.sparkSession
+    for name, rows in (("weather", weather), ("tariffs", tariffs)):
+        (
+            rows.hint("rebalance", "sim_date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("header", True)
+            .partitionBy("sim_date")
+            .csv(f"{root.rstrip('/')}/{name}")
+        )
+    for day in days:
+        marker = spark._jvm.org.apache.hadoop.fs.Path(
+            f"{root.rstrip('/')}/tariffs/sim_date={day.isoformat()}/_SUCCESS"
+        )
+        marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+
+
 def export_report(report: DataFrame, path: str, days: list[date]) -> None:
     """Ranked bill lines as CSV per day, highest bill first within each file."""
     (
