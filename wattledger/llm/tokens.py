@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,7 +39,7 @@ CHUNK = 4_000_000
 TOGETHER = 1 << 20
 #: Words of letters that are encoded as one text.
 JOINED = 256
-_ENDINGS = b".,;:!?|"
+_ENDINGS = string.punctuation
 # How a tokenizer splits whose words of letters stand alone.
 _LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD_END = "</w>"
@@ -105,27 +106,25 @@ class WordEncoder:
         return out
 
     def _learn(self, missing: list[bytes]) -> None:
-        letters: dict[str, bytes] = {}
-        others: dict[str, bytes] = {}
+        if not missing:
+            return
+        letters: dict[str, int] = {"": 0}
+        others: dict[str, int] = {"": 0}
         parts = []
-        for word in missing:
-            base = word.rstrip(_ENDINGS)
-            text = base.decode(errors="replace")
-            if base and text.isalpha() and (text.isascii() or text.lower().isalpha()):
-                text, ending = text.lower() if text.isascii() else text, word[len(base) :].decode()
-                letters[text] = b""
-                if ending:
-                    others[ending] = b""
-                parts.append((word, text, ending))
+        for text in b" ".join(missing).decode(errors="replace").split(" "):
+            base = text.rstrip(_ENDINGS)
+            if base.isascii():
+                low, plain = base.lower(), base.isalpha()
             else:
-                text = word.decode(errors="replace")
-                others[text] = b""
-                parts.append((word, "", text))
-        letters = dict(zip(letters, self._letter_ids(list(letters)), strict=True))
-        others = dict(zip(others, self._ids(list(others)), strict=True))
-        letters[""] = others[""] = b""
-        for word, base, ending in parts:
-            self._new[word] = letters[base] + others[ending]
+                low, plain = base, base.isalpha() and base.lower().isalpha()
+            if plain:
+                ending = text[len(base) :]
+                parts.append((letters.setdefault(low, len(letters)), others.setdefault(ending, len(others))))
+            else:
+                parts.append((0, others.setdefault(text, len(others))))
+        first = [b"", *self._letter_ids(list(letters)[1:])]
+        last = [b"", *self._ids(list(others)[1:])]
+        self._new.update(zip(missing, [first[i] + last[j] for i, j in parts], strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of UTF-8 texts, in the byte order and width of the dtype."""
