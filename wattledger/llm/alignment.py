@@ -288,13 +288,19 @@ PARTS = (
 )
 
 
+def summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, in any order, and the sum of each one's weights."""
+    found = pa.table({"k": keys, "w": weights}).group_by("k", use_threads=False).aggregate([("w", "sum")])
+    return found.column("k").to_numpy(), found.column("w_sum").to_numpy()
+
+
 def _chunk_of(aligner: Aligner, chunk: int, ids: list, texts: list[str | None]) -> pa.RecordBatch:
     """A row for each text, and a last row with the chunk's distinct pairs.
 
     A text's row has the numbers of its pairs (``nths``) and how often each is linked.
     """
     number = defaultdict(count().__next__)
-    ways = [[number[p] for p in aligner.pieces(t)] if t else [] for t in texts]
+    ways = [list(map(number.__getitem__, aligner.pieces(t))) if t else [] for t in texts]
     found = aligner.aligned(list(number))
     if None in found:  # such texts are looked at whole: a tokenizer might spell them all the same
         for i, way in enumerate(ways):
@@ -304,12 +310,12 @@ def _chunk_of(aligner: Aligner, chunk: int, ids: list, texts: list[str | None])
                 found += whole
     pieces = [f or (0, 0, 0, 0, b"", b"") for f in found]
     sizes = np.array([len(w) for w in ways])
-    flat = np.fromiter((k for w in ways for k in w), "i8", int(sizes.sum()))
+    flat = np.fromiter(chain.from_iterable(ways), "i8", int(sizes.sum()))
     doc = np.repeat(np.arange(len(ways)), sizes)
     counts = np.array([p[:4] for p in pieces], dtype="i8").reshape(-1, 4)
     totals = [np.bincount(doc, counts[flat, c], len(ways)).astype("i8") for c in range(4)]
     written = [p[4] for p in pieces]
-    hashes = [hashlib.sha256(b";".join([written[k] for k in w])).hexdigest() if w else "" for w in ways]
+    hashes = [hashlib.sha256(b";".join(map(written.__getitem__, w))).hexdigest() if w else "" for w in ways]
 
     pair, links = np.frombuffer(b"".join(p[5] for p in pieces), "i8").reshape(-1, 2).T
     lengths = np.array([len(p[5]) // 16 for p in pieces], dtype="i8")
@@ -317,13 +323,14 @@ def _chunk_of(aligner: Aligner, chunk: int, ids: list, texts: list[str | None])
     distinct, nth = np.unique(pair, return_inverse=True)
     # Each text's pieces once with their number, their pairs laid out, and each pair once.
     width = max(1, len(pieces))
-    held, times = np.unique(doc * width + flat, return_counts=True)
+    held, times = summed(doc * width + flat, np.ones(len(flat), dtype="i8"))
     piece = held % width
     n = lengths[piece]
     at = np.repeat(first[piece] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     many = max(1, len(distinct))
-    keys, back = np.unique(np.repeat(held // width, n) * many + nth[at], return_inverse=True)
-    linked = np.bincount(back, links[at] * np.repeat(times, n), len(keys)).astype("i8")
+    keys, linked = summed(np.repeat(held // width, n) * many + nth[at], links[at] * np.repeat(times, n))
+    order = np.argsort(keys)
+    keys, linked = keys[order], linked[order]
     ends = np.searchsorted(keys, np.arange(len(ways) + 1) * many)
     nths, of_doc = (keys % many).astype("<i4"), linked.astype("<i8")
     rows = len(ways)
