@@ -323,9 +323,36 @@ def demand_factor(hour: str) -> str:
     return f"CAST(CAST(CAST({shape} AS DECIMAL(12,8)) AS DECIMAL(12,4)) AS DOUBLE)"
 
 
+STREAM_LATENESS = "INTERVAL 15 MINUTE"
+# What a piece-wise replay keeps: a late event comes one piece later and counts if the
+# watermark of the pieces before has not passed the end of its window.
+LATE = f"""
+arrived AS (
+  SELECT *, least(p + CASE WHEN CAST(event_id AS BIGINT) % 5 = 3 THEN 1 ELSE 0 END, 2) AS piece,
+    date_trunc('hour', event_time) + INTERVAL 1 HOUR AS closes
+  FROM (SELECT *, CASE WHEN event_time < TIMESTAMP '2024-01-10 12:00:00' THEN 0
+                       WHEN event_time < TIMESTAMP '2024-01-20 12:00:00' THEN 1 ELSE 2 END AS p FROM lv)),
+marks AS (
+  SELECT n, (SELECT max(event_time) FROM arrived WHERE piece < n) - {STREAM_LATENESS} AS mark
+  FROM (SELECT unnest([0, 1, 2]) AS n)),
+lv AS (SELECT a.* FROM arrived a JOIN marks ON n = piece WHERE mark IS NULL OR closes > mark)"""
+
+
+def late_base() -> str:
+    """The base relations with the windows taken of the kept readings."""
+    before, zone_windows, after = BASE.partition("\nzw AS (")
+    return before + LATE.replace("lv AS (SELECT a", "kept AS (SELECT a") + "," + zone_windows + after.replace(
+        "FROM lv GROUP BY 1, 2),\nzl", "FROM kept GROUP BY 1, 2),\nzl", 1
+    )
+
+
 SETTLED_SPAN = "sim_day < DATE '2024-01-20'"
 
 BODIES = {
+    "stream_zone_silent": f"""
+        SELECT {ALERT_OUT} FROM silent s
+        WHERE s.window_start + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM lv) - {STREAM_LATENESS}""",
+    "stream_late_readings": f"SELECT {ZL_OUT.replace('active_meters, ', '')} FROM zl",
     "settled_bills": f"SELECT {BILL_OUT}, 'settle-1' AS batch_run_id FROM settled",
     "settled_zones": f"SELECT *, 'settle-1' AS batch_run_id FROM zd WHERE {SETTLED_SPAN}",
     "settled_checks": f"""
@@ -539,4 +566,5 @@ BODIES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: f"WITH {BASE} {body}" for name, body in BODIES.items()}
+    own = {"stream_late_readings": late_base()}
+    return {name: f"WITH {own.get(name, BASE)} {body}" for name, body in BODIES.items()}

@@ -110,24 +110,16 @@ def _load_days(zone_load: DataFrame) -> DataFrame:
     )
 
 
-def silent_zone_alerts(
-    zone_load: DataFrame, zones: DataFrame, width: str = WINDOW, days: DataFrame | None = None
+def silent_between(
+    ends: DataFrame, zone_load: DataFrame, zones: DataFrame, width: str = WINDOW
 ) -> DataFrame:
-    """Windows in which a zone is absent, from the first to the last that counts.
+    """Alerts of the windows from ``first`` to ``last`` (one row, null for none) in which a
+    zone is absent.
 
     A zone without readings has no row to test, so the expected windows are spelled out
     (zones of the dimension times windows, whatever the number of readings) and the
-    present ones removed. ``days`` are the ``live.meter_days``. Days on which two meters
-    report set the first and the last window, so a meter whose clock is off by decades
-    does not; between them every window is expected, also on days without readings. If no
-    day has two meters, all days count. Windows are spelled out by blocks on many tasks.
+    present ones removed. Windows are spelled out by blocks on many tasks.
     """
-    ends = (_load_days(zone_load) if days is None else days).agg(
-        *[
-            F.coalesce(end(F.when(F.col("vouched"), F.col(c))), end(c)).alias(c)
-            for c, end in (("first", F.min), ("last", F.max))
-        ]
-    )
     step = F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {width}"))
     names = zones.agg(F.collect_set("grid_zone")).scalar()
     spans = ends.filter(F.col("first").isNotNull()).select(
@@ -168,5 +160,24 @@ def silent_zone_alerts(
     )
 
 
+def silent_zone_alerts(
+    zone_load: DataFrame, zones: DataFrame, width: str = WINDOW, days: DataFrame | None = None
+) -> DataFrame:
+    """Windows in which a zone is absent, from the first to the last that counts.
+
+    ``days`` are the ``live.meter_days``. Days on which two meters
+    report set the first and the last window, so a meter whose clock is off by decades
+    does not; between them every window is expected, also on days without readings. If no
+    day has two meters, all days count.
+    """
+    ends = (_load_days(zone_load) if days is None else days).agg(
+        *[
+            F.coalesce(end(F.when(F.col("vouched"), F.col(c))), end(c)).alias(c)
+            for c, end in (("first", F.min), ("last", F.max))
+        ]
+    )
+    return silent_between(ends, zone_load, zones, width)
+
+
 def all_alerts(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)

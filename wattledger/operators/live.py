@@ -54,6 +54,7 @@ def zone_window_sums(live: DataFrame) -> DataFrame:
             F.sum(steady).alias("volts"),
             F.count(steady).alias("volt_readings"),
             F.count(F.lit(1)).alias("reading_count"),
+            F.max("seen_at").alias("last_seen"),
         )
         .select(
             "grid_zone",
@@ -61,12 +62,13 @@ def zone_window_sums(live: DataFrame) -> DataFrame:
             F.col("w.end").alias("window_end"),
             F.to_date(F.col("w.start")).alias("sim_day"),
             "consumption", "solar", "active_meters", "volts", "volt_readings", "reading_count",
+            "last_seen",
         )
     )
 
 
-def zone_load_rows(sums: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Zone sums as rows of the live zone table."""
+def zone_load_rows(sums: DataFrame, limits: Limits = LIMITS, *extra: str) -> DataFrame:
+    """Zone sums as rows of the live zone table, with ``extra`` columns of the sums."""
     cap = F.lit(limits.renewable_cap_pct).cast(WIDE_PERCENT)
     volts = F.col("volts") / F.col("volt_readings").cast("decimal(18,0)")
     return sums.withColumns(
@@ -79,7 +81,7 @@ def zone_load_rows(sums: DataFrame, limits: Limits = LIMITS) -> DataFrame:
             ).cast(PERCENT),
             "avg_voltage": F.when(F.col("volt_readings") > 0, volts).cast(VOLTAGE),
         }
-    ).select(*ZONE_LOAD_COLUMNS)
+    ).select(*ZONE_LOAD_COLUMNS, *extra)
 
 
 def zone_load(parsed: DataFrame, width: str = WINDOW, limits: Limits = LIMITS) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wattledger.operators import parse
 from wattledger.schemas import ARCHIVE
@@ -46,7 +46,7 @@ def stream_zone_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).awaitTermination()
     # Active meters are a sketch on a stream and are compared in the tests only.
     return _newest(spark, f"{root}/zone", queries.ZONE_KEY).drop(
-        "active_meters", "updated_at", "batch_id"
+        "active_meters", "last_seen", "updated_at", "batch_id"
     )
 
 
@@ -100,16 +100,18 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _land_in_pieces(events: DataFrame, path: str) -> Iterator[int]:
-    """Append the events as messages, piece by piece in time order."""
-    bounds = [None, *RESTARTS, None]
-    for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
-        piece = events
-        if low is not None:
-            piece = piece.filter(F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
-        if high is not None:
-            piece = piece.filter(F.col("ts") < F.lit(high).cast("timestamp_ntz"))
-        mt.messages(piece).write.mode("append").parquet(path)
+def _land_in_pieces(events: DataFrame, path: str, late: Column | None = None) -> Iterator[int]:
+    """Append the events as messages, piece by piece in time order.
+
+    ``late`` events come with the piece after their own, if there is one.
+    """
+    piece = F.lit(0)
+    for bound in RESTARTS:
+        piece = piece + (F.col("ts") >= F.lit(bound).cast("timestamp_ntz")).cast("int")
+    if late is not None:
+        piece = F.least(piece + late.cast("int"), F.lit(len(RESTARTS)))
+    for i in range(len(RESTARTS) + 1):
+        mt.messages(events.filter(piece == i)).write.mode("append").parquet(path)
         yield i
 
 
@@ -131,10 +133,38 @@ def stream_upsert_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _zone_replay(spark: SparkSession, sf_dir: str, label: str, late: Column | None = None, **options) -> str:
+    """The root of the live zone tables after three runs of one checkpoint."""
+    root = scratch_path(spark, label)
+    landing = f"{root}/messages"
+    for _ in _land_in_pieces(mt.table(spark, sf_dir, "events"), landing, late):
+        queries.start_zone_load(
+            parse.parse_messages(read_file_messages(spark, landing)), f"{root}/zone", f"{root}/alerts",
+            f"{root}/checkpoint", None, **options,
+        ).awaitTermination()
+    return root
+
+
+def stream_zone_silent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones that were absent from windows that have closed, over three runs."""
+    root = _zone_replay(spark, sf_dir, "stream-silent", zones=mt.dim_household(spark, sf_dir))
+    raised = _newest(spark, f"{root}/alerts", queries.ZONE_ALERT_KEY)
+    return raised.filter(F.col("alert_type") == "ZONE_SILENT").drop("created_at", "batch_id")
+
+
+def stream_late_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone windows if every fifth event comes a piece late: those whose window is still open
+    count, the others are left to the settlement."""
+    root = _zone_replay(spark, sf_dir, "stream-late", late=F.col("event_id") % 5 == 3)
+    return _newest(spark, f"{root}/zone", queries.ZONE_KEY).drop(
+        "active_meters", "last_seen", "updated_at", "batch_id"
+    )
+
+
 STREAM_QUERIES = {
     f.__name__: f
     for f in (
         stream_zone_window, stream_zone_alerts, stream_household_day, stream_archive,
-        stream_dead_letters, stream_upsert_restarted,
+        stream_dead_letters, stream_upsert_restarted, stream_zone_silent, stream_late_readings,
     )
 }

@@ -12,7 +12,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from wattledger.operators import alerts, live
 from wattledger.operators.parse import dead_letter_messages
 from wattledger.schemas import ARCHIVE, LIMITS, Limits
-from wattledger.streaming.changes import write_changes
+from wattledger.streaming.changes import read_changes, write_changes
+from wattledger.streaming.closing import advance
 
 BASE_TRIGGER_SECONDS = 10
 
@@ -75,13 +76,27 @@ def start_zone_load(
     width: str = live.WINDOW,
     lateness: str = live.LATENESS,
     limits: Limits = LIMITS,
+    zones: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Live zone windows, in progress ones included, and their threshold alerts."""
+    """Live zone windows, in progress ones included, and their alerts.
+
+    With ``zones`` (the household dimension) a zone that is absent from a window raises an
+    alert as the window closes: an absence brings no row of its own, so what the watermark
+    has passed is compared with the windows to be expected (``closing``).
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = live.zone_load_rows(batch, limits).withColumn("updated_at", F.current_timestamp())
-        stored = write_changes(rows, zone_root, batch_id)
-        _write_alerts(alerts.zone_alerts(stored, limits), alert_root, batch_id)
+        rows = live.zone_load_rows(batch, limits, "last_seen")
+        stored = write_changes(rows.withColumn("updated_at", F.current_timestamp()), zone_root, batch_id)
+        raised = alerts.zone_alerts(stored, limits)
+        if zones is not None:
+            closing = advance(stored, zone_root, batch_id, lateness)
+            known = read_changes(stored.sparkSession, zone_root, stored.schema)
+            if closing.since is not None:  # windows that closed before are not looked at again
+                known = known.filter(F.col("window_end") > F.lit(closing.since))
+            ends = closing.ends(stored.sparkSession, width)
+            raised = raised.unionByName(alerts.silent_between(ends, known, zones, width))
+        _write_alerts(raised, alert_root, batch_id)
 
     sums = live.zone_window_sums(live.live_readings(parsed, lateness, width))
     writer = sums.writeStream.foreachBatch(write).outputMode("update")
@@ -128,9 +143,13 @@ def start_all(
     base_seconds: int | None = BASE_TRIGGER_SECONDS,
     dead_letter_format: str = "parquet",
     limits: Limits = LIMITS,
+    zones: DataFrame | None = None,
     **dead_letter_options: str,
 ) -> list[StreamingQuery]:
-    """Start all four queries under one root; alerts of zones and households apart."""
+    """Start all four queries under one root; alerts of zones and households apart.
+
+    ``zones``, the household dimension, adds alerts of zones that fall silent.
+    """
     root = root.rstrip("/")
     checkpoint = f"{root}/checkpoints"
     if dead_letter_format != "kafka":
@@ -143,7 +162,7 @@ def start_all(
         start_archive(parsed, f"{root}/meter_readings", checkpoint, every(3)),
         start_zone_load(
             parsed, f"{root}/rt_zone_load", f"{root}/rt_zone_alerts", checkpoint, every(1),
-            limits=limits,
+            limits=limits, zones=zones,
         ),
         start_household_running(
             parsed, f"{root}/rt_household_running", f"{root}/rt_household_alerts", checkpoint,
