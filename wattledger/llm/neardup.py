@@ -20,6 +20,7 @@ Equal texts are one text throughout.
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wattledger.llm import bagminhash, rolling
 from wattledger.llm.common import SHINGLE_WORDS, SIMILAR, stored, unused
 from wattledger.llm.components import components
+from wattledger.session import scratch_path
 
 #: A pair at the threshold shares none of 24 bands of 5 with a chance of 7 in 100,000.
 BANDS, ROWS = 24, 5
 #: Sizes within this factor of each other form a class.
 CLASS_FACTOR = 1.04
+#: Pairs that one copy of a text is compared in, about.
+SPREAD = 256
 KEY = pa.binary()
 
 
@@ -102,11 +106,38 @@ def _verify(least: float):
     return verify
 
 
+@contextmanager
+def keyed(texts: DataFrame, label: str):
+    """(key, text) stored in buckets by key, so that joins on the key bring the other side
+    to the texts. The table's entry in the catalog is dropped at the end, its files stay
+    with the other intermediate results.
+    """
+    spark = texts.sparkSession
+    name = unused(label.replace("-", "_"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, label)
+    texts.write.format("parquet").option("path", path).bucketBy(buckets, "key").saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) of keys whose texts are similar."""
+    """The pairs (a, b) of keys whose texts are similar; ``texts`` are ``keyed``.
+
+    A text that many pairs share as their ``a`` is met in as many places as its pairs
+    fill, so no task has all of them.
+    """
+    sizes = pairs.groupBy("a").agg(F.expr(f"(count(*) + {SPREAD - 1}) div {SPREAD}").alias("parts"))
+    sizes = stored(sizes, "pair-parts")
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")
+    spread = pairs.join(sizes.withColumnRenamed("a", "of"), F.col("a") == F.col("of")).select("a", "b", part)
     known = texts.select(F.col("key").alias("k"), "text")
-    with_b = pairs.join(known.withColumnRenamed("text", "text_b"), F.col("b") == F.col("k")).drop("k")
-    both = with_b.join(known.withColumnRenamed("text", "text_a"), F.col("a") == F.col("k"))
+    with_b = spread.join(known, F.col("b") == F.col("k")).select("a", "b", "part", F.col("text").alias("text_b"))
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    with_a = sizes.join(known, F.col("a") == F.col("k")).select("a", parts, F.col("text").alias("text_a"))
+    both = with_b.join(with_a, ["a", "part"])
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(least), "a binary, b binary")
 
 
@@ -148,8 +179,8 @@ def size_class(n: int) -> int:
     return int(math.log(n) / math.log(CLASS_FACTOR) + 1e-9)
 
 
-def prefixes(total: int, items: list[int], counts: list[int], least: float) -> list[tuple[int, int, bool]]:
-    """(item, class, larger) under which a text of ``total`` shingles meets its partners.
+def prefixes(total: int, items: np.ndarray, counts: np.ndarray, least: float):
+    """(items, classes, larger) under which a text of ``total`` shingles meets its partners.
 
     ``items`` are its shingles that other components have, in the common order; all
     others come before them. To the class of its own size it goes as the smaller one of a
@@ -157,43 +188,44 @@ def prefixes(total: int, items: list[int], counts: list[int], least: float) -> l
     >= y overlaps in least / (1 + least) * (x + y) at least, so it shares an item among
     the first x - overlap + 1 of the one and y - overlap + 1 of the other.
     """
-    before = total - sum(counts)
+    place = total - counts.sum() + np.cumsum(counts) - counts
 
-    def first(overlap: float) -> list[int]:
-        room, taken, place = total - math.ceil(overlap - 1e-6) + 1, [], before
-        for item, count in zip(items, counts, strict=True):
-            if place >= room:
-                break
-            taken.append(item)
-            place += count
-        return taken
+    def first(overlap: float) -> int:
+        return int(np.searchsorted(place, total - math.ceil(overlap - 1e-6) + 1))
 
     share = least / (1 + least)
     own = size_class(total)
-    out = [(item, own, False) for item in first(share * 2 * total)]
+    taken, classes = [first(share * 2 * total)], [own]
     smallest = max(1, math.ceil(least * total - 1e-6))
     for other in range(size_class(smallest), own + 1):
         size = max(smallest, math.floor(CLASS_FACTOR**other))
-        out += [(item, other, True) for item in first(share * (total + size))]
-    return out
+        taken.append(first(share * (total + size)))
+        classes.append(other)
+    found = [items[:n] for n in taken]
+    larger = np.repeat(np.arange(len(taken)) > 0, taken)
+    return np.concatenate(found), np.repeat(np.array(classes, dtype="i4"), taken), larger
 
 
 def _prefix_rows(least: float):
     def make(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                items = [x["item"] for x in row["items"]]
-                counts = [x["count"] for x in row["items"]]
-                found = prefixes(row["total"], items, counts, least)
-                if found:
-                    item, cls, larger = zip(*found, strict=True)
-                    n = len(found)
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "key": pa.array([row["key"]] * n, KEY), "label": pa.array([row["label"]] * n, KEY),
-                            "total": [row["total"]] * n, "item": item,
-                            "class": pa.array(cls, pa.int32()), "larger": larger,
-                        }
+            lists = batch.column("items")
+            flat, ends = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            items, counts = (flat.field(c).to_numpy() for c in ("item", "count"))
+            for i, total in enumerate(batch.column("total").to_pylist()):
+                at = slice(ends[i], ends[i + 1])
+                item, cls, larger = prefixes(total, items[at], counts[at].astype("i8"), least)
+                for lo in range(0, len(item), 50_000):
+                    part = slice(lo, lo + 50_000)
+                    n = len(item[part])
+                    own = pa.array([i] * n, pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("key").take(own), batch.column("label").take(own),
+                            pa.array([total] * n, pa.int64()), pa.array(item[part]), pa.array(cls[part]),
+                            pa.array(larger[part]),
+                        ],
+                        names=["key", "label", "total", "item", "class", "larger"],
                     )
 
     return make
@@ -247,6 +279,27 @@ def hidden_pairs(members: DataFrame, texts: DataFrame, labels: DataFrame, least:
     return meet.select("a", "b").distinct()
 
 
+def _members(texts: DataFrame) -> DataFrame:
+    """(band, key) of every band that several texts share."""
+    signed = stored(texts.select("key", "text").mapInArrow(_sign, "key binary, bands array<long>"), "signatures")
+    bands = signed.select("key", F.explode("bands").alias("band"))
+    shared = (
+        bands.groupBy("band")
+        .agg(F.min("key").alias("low"), F.max("key").alias("high"))
+        .filter(F.col("low") != F.col("high"))
+        .select("band")
+    )
+    return stored(bands.join(stored(shared, "bands"), "band").select("band", "key").distinct(), "members")
+
+
+def _linked(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """(node, label) of the texts that are linked to another one."""
+    links = stored(verified(stored(pivot_pairs(members), "pivots"), texts, least), "links")
+    labels = components(links)
+    more = stored(verified(stored(hidden_pairs(members, texts, labels, least), "hidden"), texts, least), "links")
+    return components(links.union(more))
+
+
 def classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """(key, label, class_id, first_id) of every distinct text.
 
@@ -257,29 +310,13 @@ def classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     but their equals. Null texts are left out. Null ids count as larger than all others.
     """
     text = docs.select("text").filter(F.col("text").isNotNull())
-    signed = stored(
-        text.select(text_key(F.col("text")).alias("key"), "text").mapInArrow(
-            _sign, "key binary, bands array<long>"
-        ),
-        "signatures",
-    )
-    bands = signed.select("key", F.explode("bands").alias("band"))
-    shared = (
-        bands.groupBy("band")
-        .agg(F.min("key").alias("low"), F.max("key").alias("high"))
-        .filter(F.col("low") != F.col("high"))
-        .select("band")
-    )
-    members = stored(bands.join(stored(shared, "bands"), "band").select("band", "key").distinct(), "members")
-    candidate = stored(members.select(F.col("key").alias("k")).distinct(), "candidate-keys")
     distinct = text.groupBy(text_key(F.col("text")).alias("key")).agg(F.first("text").alias("text"))
-    texts = stored(
-        distinct.join(candidate, F.col("key") == F.col("k"), "left_semi"), "candidate-texts"
-    )
-    links = stored(verified(stored(pivot_pairs(members), "pivots"), texts, least), "links")
-    labels = components(links)
-    more = stored(verified(stored(hidden_pairs(members, texts, labels, least), "hidden"), texts, least), "links")
-    labels = components(links.union(more))
+    with keyed(distinct, "distinct-texts") as all_texts:
+        members = _members(all_texts)
+        candidate = stored(members.select(F.col("key").alias("k")).distinct(), "candidate-keys")
+        compared = all_texts.join(candidate, F.col("key") == F.col("k"), "left_semi")
+        with keyed(compared, "candidate-texts") as texts:
+            labels = _linked(members, texts, least)
     firsts = (
         docs.filter(F.col("text").isNotNull())
         .groupBy(text_key(F.col("text")).alias("key"))
