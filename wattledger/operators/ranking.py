@@ -1,68 +1,67 @@
-"""Exact RANK() over large groups without sorting a group in one task."""
+"""Exact RANK() over large groups: sorted ranges, and their offsets.
 
-from __future__ import annotations
+A plain ``rank()`` sorts a whole group in one task. Here rows are sorted over many tasks by
+group and amount, ranked within each range, and raised by the number of rows in the ranges
+before. A range is known by one row per group in it: how many rows it has, and its first
+and last amount with their ranks. Those rows are few, one per range and group, so what
+moves between tasks besides the rows themselves doesn't grow with them.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import uuid
 
-FAN_OUT = 10_000
+from pyspark.sql import DataFrame, Window, functions as F
 
+from wattledger.session import settle
 
-def _levels(df: DataFrame, amount: str) -> list[tuple[str, Column]]:
-    """Ever coarser buckets of the amount, each holding 10,000 of the finer ones at most.
+def _ranges(rows: DataFrame, group: str, amount: str, part: str) -> DataFrame:
+    """The rows with the number of their range, ascending by group and descending by amount.
 
-    A fixed-point amount with four decimals has 10,000 values per currency unit; units
-    are bucketed by ten thousands until the type's precision is used up.
+    Equal amounts fall into as many ranges as they fill, by a random number that only
+    decides which of them.
     """
-    dtype = df.schema[amount].dataType
-    if dtype.scale > 4:
-        raise ValueError(f"{amount} has more than four decimals")
-    levels = [("level1", F.floor(amount).cast("bigint"))]
-    digits = dtype.precision - dtype.scale
-    while digits > 4:
-        finer = levels[-1][0]
-        levels.append((f"level{len(levels) + 1}", F.floor(F.col(finer) / FAN_OUT)))
-        digits -= 4
-    return levels
+    salt = f"{part}_salt"
+    dealt = rows.withColumn(salt, F.rand(1)).repartitionByRange(F.col(group), F.col(amount).desc(), salt)
+    return dealt.withColumn(part, F.spark_partition_id()).drop(salt)
 
 
-def _rows_ahead(partition: list[str], order: str) -> Column:
-    greater = (
-        Window.partitionBy(*partition)
-        .orderBy(F.col(order).desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+def _raised(edges: DataFrame) -> DataFrame:
+    """Per range and group: the rows before it (``before``) and the rank at which its first
+    amount begins (``lead``), maybe in an earlier range."""
+    earlier = Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    known = edges.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    ends = F.array(
+        F.struct(F.col("first").alias("value"), (F.col("before") + 1).alias("at")),
+        F.struct(F.col("last").alias("value"), (F.col("before") + F.col("last_rank")).alias("at")),
     )
-    return F.coalesce(F.sum("n").over(greater), F.lit(0))
+    begins = known.select(F.col("g").alias("of"), F.inline(ends)).groupBy("of", "value").agg(F.min("at").alias("lead"))
+    same = F.col("g").eqNullSafe(F.col("of")) & (F.col("first") == F.col("value"))
+    return known.join(begins, same).select("part", "g", "first", "before", "lead")
 
 
 def rank_by_amount(rows: DataFrame, group: str, amount: str, rank: str) -> DataFrame:
-    """``RANK() OVER (PARTITION BY group ORDER BY amount DESC)`` for decimal amounts.
-
-    The rank is one plus the number of rows with a greater amount. Rows are counted per
-    amount first (a much-repeated amount collapses on the map side); the counts are then
-    accumulated level by level, amounts within a unit, units within ten thousand units,
-    and so on. No window sorts more than 20,000 rows, however many the group has, where a
-    plain ``rank()`` would sort the whole group in one task.
+    """``RANK() OVER (PARTITION BY group ORDER BY amount DESC)``; null for a null amount.
 
-    ``rows`` is read twice and should be a stored table or a settled result.
+    The rank is one plus the number of rows of the group with a greater amount. Rows are
+    exchanged twice, whatever their amounts: once into sorted ranges, which are stored, and
+    once into the groups of each range. No task has more than a range, also if most amounts
+    of a group are equal.
     """
-    counts = rows.filter(F.col(amount).isNotNull()).groupBy(group, amount).agg(
-        F.count(F.lit(1)).alias("n")
+    part = f"range_{uuid.uuid4().hex[:8]}"
+    ranges = settle(_ranges(rows, group, amount, part), "ranges")
+    within = Window.partitionBy(part, group).orderBy(F.col(amount).desc_nulls_last())
+    ranked = ranges.withColumn(rank, F.rank().over(within))
+    known = F.col(amount).isNotNull()
+    edges = ranked.filter(known).groupBy(F.col(part).alias("part"), F.col(group).alias("g")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(amount).alias("first"), F.min(amount).alias("last"),
+        F.max(rank).alias("last_rank"),
     )
-    for name, bucket in (levels := _levels(rows, amount)):
-        counts = counts.withColumn(name, bucket)
-    names = [name for name, _ in levels]
-
-    # Rows ahead of each amount among the amounts of its unit ...
-    ranks = counts.withColumn("ahead", _rows_ahead([group, names[0]], amount)).drop("n")
-    # ... plus rows ahead of each bucket among the buckets of its parent.
-    for i, name in enumerate(names):
-        counts = counts.groupBy(group, *names[i:]).agg(F.sum("n").alias("n"))
-        parent = names[i + 1 : i + 2]
-        offset = counts.select(
-            group, name, _rows_ahead([group, *parent], name).alias(f"ahead_{name}")
-        )
-        ranks = ranks.join(offset, [group, name])
-    total = reduce(Column.__add__, [F.col(f"ahead_{n}") for n in names], F.col("ahead") + 1)
-    return rows.join(ranks.select(group, amount, total.alias(rank)), [group, amount], "left")
+    raised = settle(_raised(settle(edges, "range-edges")), "range-offsets")
+    offsets = raised.select(*[F.col(c).alias(f"{part}_{c}") for c in raised.columns])
+    of = lambda name: F.col(f"{part}_{name}")
+    total = F.when(F.col(amount) == of("first"), of("lead")).otherwise(of("before") + F.col(rank))
+    joined = ranked.join(
+        offsets, (F.col(part) == of("part")) & F.col(group).eqNullSafe(of("g")), "left"
+    )
+    return joined.withColumn(rank, F.when(known, total)).select(*rows.columns, rank)

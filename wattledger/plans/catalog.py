@@ -62,11 +62,13 @@ def _merged(spark, sf):
     return serving.household_daily(_settled_bills(spark, sf), _running(spark, sf))
 
 
-def _zone_daily(spark, sf):
+def _zone_daily(spark, sf, day: str | None = None):
+    """Zone rows of all days, or of one; then only its readings are cleaned and stored."""
+    readings = _readings(spark, sf)
+    if day:
+        readings = readings.filter(F.col("sim_date") == F.lit(day).cast("date"))
     # Three branches need the cleaned rows, so they are stored once.
-    flagged = settle(
-        clean.flag_clean(_readings(spark, sf)).select(*FLAGGED_COLUMNS), "flagged"
-    )
+    flagged = settle(clean.flag_clean(readings).select(*FLAGGED_COLUMNS), "flagged")
     priced = billing.price(billing.household_energy(flagged), mt.tariffs(spark, sf))
     return zones.zone_daily(
         flagged, priced, mt.weather(spark, sf), mt.active_households(spark, sf)
@@ -307,13 +309,15 @@ def zone_history(spark, sf):
 
 
 def billing_report_ranked(spark, sf):
-    return serving.billing_report(settle(household_bill(spark, sf), "bills"))
+    return serving.billing_report(household_bill(spark, sf))
 
 
 def billing_top(spark, sf):
-    return serving.highest_bills(
-        billing_report_ranked(spark, sf), F.lit(DETAIL_DAY).cast("date"), limit=50
-    )
+    """A rank counts the bills of its day only, so only that day is priced and ranked."""
+    day = F.lit(DETAIL_DAY).cast("date")
+    readings = _readings(spark, sf).filter(F.col("sim_date") == day)
+    bills = billing.bill_table(priced_households(readings, mt.tariffs(spark, sf)))
+    return serving.highest_bills(serving.billing_report(bills), day, limit=50)
 
 
 def report_kpis(spark, sf):
@@ -321,7 +325,8 @@ def report_kpis(spark, sf):
 
 
 def zones_of_day(spark, sf):
-    return serving.zones_of_day(_zone_daily(spark, sf), F.lit(DETAIL_DAY).cast("date"))
+    day = F.lit(DETAIL_DAY).cast("date")
+    return serving.zones_of_day(_zone_daily(spark, sf, DETAIL_DAY), day)
 
 
 def pending_days(spark, sf):
