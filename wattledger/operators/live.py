@@ -25,16 +25,36 @@ def live_readings(parsed: DataFrame, lateness: str = LATENESS, width: str = WIND
     settlement. State is as large as the open windows and belongs in RocksDB. In batch
     the same rule is the exact de-duplication.
     """
-    valid = parsed.filter(F.col("is_valid"))
-    valid = valid.withColumn("seen_at", F.col("event_time"))
-    if not valid.isStreaming:
-        return deduplicate(valid).withColumn("w", F.window("event_time", width))
+    if not parsed.isStreaming:
+        return in_windows(counted_once(parsed), width)
+    valid = parsed.filter(F.col("is_valid")).withColumn("seen_at", F.col("event_time"))
     watched = valid.withWatermark("event_time", lateness)
     once = watched.withColumn("w", F.window("event_time", width)).dropDuplicates(["event_id", "w"])
     # Only the window carries the watermark from here on; a stream may have one such column.
     return once.drop("event_time")
 
 
+#: What the live aggregates need of a reading.
+COUNTED_COLUMNS = (
+    "event_time", "sim_date", "meter_id", "household_id", "grid_zone", "consumption_kwh",
+    "solar_kwh", "voltage", "voltage_suspect",
+)
+
+
+def counted_once(parsed: DataFrame) -> DataFrame:
+    """The valid readings of a batch, each event once, whatever windows they are put into.
+
+    Stored once (``settle``), the rows serve zone windows, household days and the days on
+    which meters report.
+    """
+    return deduplicate(parsed.filter(F.col("is_valid")))
+
+
+def in_windows(once: DataFrame, width: str = WINDOW) -> DataFrame:
+    """``live_readings`` from rows that are counted once already."""
+    return once.withColumns({"seen_at": F.col("event_time"), "w": F.window("event_time", width)})
+
+
 def zone_window_sums(live: DataFrame) -> DataFrame:
     """Tumbling-window sums per zone.
 

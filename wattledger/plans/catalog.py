@@ -77,9 +77,12 @@ def _zone_daily(spark, sf, day: str | None = None):
 
 def _checks(spark, sf):
     """Check rows of one run per day, recorded six hours after the day."""
-    rows = quality.dq_rows(
-        clean.clean_stats(_readings(spark, sf)), billing.tariff_coverage(_priced(spark, sf))
-    )
+    readings = _readings(spark, sf)
+    # De-duplicated and stored once: statistics and coverage both start from these rows.
+    flagged = settle(clean.flag_clean(readings).select(*FLAGGED_COLUMNS), "flagged")
+    priced = billing.price(billing.household_energy(flagged), mt.tariffs(spark, sf))
+    stats = clean.stats_of(flagged, clean.delivered(readings))
+    rows = quality.dq_rows(stats, billing.tariff_coverage(priced))
     return rows.filter(F.col("sim_day").isNotNull()).withColumns(
         {
             "run_id": F.concat(F.lit("batch-"), F.col("sim_day").cast("string")),
@@ -104,19 +107,28 @@ def _runs(spark, sf):
     )
 
 
-def _silent_alerts(spark, sf):
-    days = live.meter_days(live.live_readings(_readings(spark, sf)))
+def _once(spark, sf):
+    """The readings that count live, de-duplicated and stored once for all live aggregates."""
+    return settle(live.counted_once(_readings(spark, sf)).select(*live.COUNTED_COLUMNS), "live")
+
+
+def _zone_load_of(once):
+    return live.zone_load_rows(live.zone_window_sums(live.in_windows(once)))
+
+
+def _silent_alerts(spark, sf, once):
     return alerts.silent_zone_alerts(
-        _zone_load(spark, sf), mt.dim_household(spark, sf), days=days
+        _zone_load_of(once), mt.dim_household(spark, sf), days=live.meter_days(live.in_windows(once))
     )
 
 
 def _alerts(spark, sf):
-    zone_load, running = _zone_load(spark, sf), _running(spark, sf)
+    once = _once(spark, sf)
+    running = live.household_totals(live.in_windows(once, live.DAY))
     return alerts.all_alerts(
-        alerts.zone_alerts(zone_load, TABLE_LIMITS),
+        alerts.zone_alerts(_zone_load_of(once), TABLE_LIMITS),
         alerts.spike_alerts(running, TABLE_LIMITS),
-        _silent_alerts(spark, sf),
+        _silent_alerts(spark, sf, once),
     )
 
 
@@ -259,7 +271,7 @@ def alerts_spike(spark, sf):
 
 
 def alerts_zone_silent(spark, sf):
-    return _silent_alerts(spark, sf)
+    return _silent_alerts(spark, sf, _once(spark, sf))
 
 
 def alerts_all(spark, sf):
@@ -330,8 +342,13 @@ def zones_of_day(spark, sf):
 
 
 def pending_days(spark, sf):
-    billed = _settled_bills(spark, sf).select(F.col("sim_day").alias("sim_date")).distinct()
-    return days.pending_days(mt.published_days(spark, sf), _event_days(spark, sf), billed)
+    """A day is billed once a household with a tariff has a reading that counts; no bill is
+    priced to tell."""
+    settled = _readings(spark, sf).filter(F.col("sim_date") < F.lit(SETTLED_BEFORE).cast("date"))
+    billed = clean.clean(settled).join(mt.tariffs(spark, sf), "household_id", "left_semi")
+    return days.pending_days(
+        mt.published_days(spark, sf), _event_days(spark, sf), billed.select("sim_date").distinct()
+    )
 
 
 def next_pending_day(spark, sf):
