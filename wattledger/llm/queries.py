@@ -231,8 +231,52 @@ FROM leaves l JOIN subroots s ON s.name = l.tree CROSS JOIN root r
 JOIN top t ON t.leaf = l.leaf AND t.level = r.level LEFT JOIN proof p ON p.leaf = l.leaf
 """
 
+#: Of equal payloads the smallest page_id is the response; base32 comes from five hexadecimal
+#: digits, hence four letters, at a time.
+OP5_SQL = r"""
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+    SELECT page_id, octet_length(payload) AS n, sha1(payload) AS h,
+        min(page_id) OVER (PARTITION BY payload) AS first_id FROM p
+), letters AS (
+    SELECT page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(h, 1 + 5 * g, 5))::BIGINT >> (15 - 5 * c)) % 32)::INT, 1), '' ORDER BY g, c) AS digest
+    FROM d, (SELECT unnest(range(8)) AS g), (SELECT unnest(range(4)) AS c) GROUP BY page_id
+)
+SELECT d.page_id, d.n::BIGINT AS payload_bytes, digest AS payload_digest,
+    CASE WHEN d.page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN d.page_id <> first_id THEN first_id END AS refers_to
+FROM d JOIN letters USING (page_id)
+"""
+
+#: A word is covered if one of the windows that reach it starts in a document before.
+OP8_SQL = r"""
+WITH t AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT r, doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+    FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM t)
+), repeats AS (
+    SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS first_id FROM windows)
+    WHERE first_id < doc_id
+), covered AS (SELECT DISTINCT r, i + k AS at FROM repeats, (SELECT unnest(range(50)) AS k)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM t),
+kept AS (
+    SELECT words.r, string_agg(word, ' ' ORDER BY words.at) AS text, count(*) AS n
+    FROM words LEFT JOIN covered ON covered.r = words.r AND covered.at = words.at
+    WHERE covered.at IS NULL GROUP BY words.r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM t LEFT JOIN kept ON kept.r = t.r
+"""
+
 ORACLE_SQL = {
+    "op5_warc_transactions": OP5_SQL,
     "op6_top_products": OP6_SQL,
+    "op8_repeated_passages": OP8_SQL,
     "op9_benchmark_containment": OP9_SQL,
     "op13_merkle_proofs": OP13_SQL,
 }
