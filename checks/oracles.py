@@ -367,6 +367,10 @@ BODIES = {
         SELECT 'settle-2', 'batch', 'billing_reconciliation', (SELECT min(sim_date) FROM rd), 'FAILED',
           CAST(0 AS BIGINT), CAST(0 AS BIGINT), TRUE""",
     "pending_from_folders": "SELECT sim_date FROM pending",
+    "merged_from_tables": f"SELECT {MERGED_OUT.removesuffix(', as_of')} FROM merged",
+    "freshness_from_files": """
+        SELECT t AS table_name, TRUE AS has_files, FALSE AS is_stale, t <> 'batch_household_bill' AS is_stale_later
+        FROM (SELECT unnest(['rt_zone_load', 'rt_household_running', 'batch_household_bill']) AS t)""",
     "report_csv": f"SELECT {REPORT_OUT} FROM {RANKED} r WHERE r.{SETTLED_SPAN}",
     "stream_zone_window": f"SELECT {ZL_OUT.replace('active_meters, ', '')} FROM zl",
     "stream_zone_alerts": f"""

@@ -52,6 +52,9 @@ def test_impossible_solar_values_are_counted(spark):
     )
     counts = parse.solar_range_counts(readings).first()
     assert (counts.solar_readings, counts.solar_out_of_range) == (6, 4)
+    again = parse.validate_readings(readings).orderBy("kafka_offset").collect()
+    assert [r.solar_missing for r in again] == [False, True, True, True, True, True, False]
+    assert [r.solar_kwh == 0 for r in again] == [r.solar_missing for r in again]
 
 
 def test_medians_are_exact_above_ten_thousand_readings(spark):

@@ -31,14 +31,14 @@ def validate_readings(readings: DataFrame, limits: Limits = LIMITS) -> DataFrame
     """Attach reason, flags and the null-safe values the live views use.
 
     ``consumption_kwh`` exists only on valid rows, in a type that holds every plausible
-    value. Solar readings beyond what the table can hold count as missing in the sums;
-    ``solar_range_counts`` reports how many there are.
+    value. Solar readings beyond what the table can hold are flagged and summed like missing
+    ones; ``solar_range_counts`` reports how many there are.
     """
     return readings.withColumns(
         {
             "reject_reason": reject_reason(limits),
             "voltage_suspect": voltage_suspect(limits),
-            "solar_missing": F.col("solar_generation_kwh").isNull(),
+            "solar_missing": F.col("solar_generation_kwh").try_cast(READING_SOLAR).isNull(),
             "sim_date": F.to_date("event_time"),
         }
     ).withColumns(

@@ -13,11 +13,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wattledger.operators import quality, serving
-from wattledger.plans import reconcile, tables
+from wattledger.plans import reconcile, replay, tables
 from wattledger.plans.reconcile import Layout
 from wattledger.schemas import ARCHIVE, Limits
 from wattledger.session import scratch_path
 from wattledger.sources import files, meter_tables as mt
+from wattledger.streaming import queries
 
 LAST_DAY = date(2024, 1, 19)
 RUN, REFUSED_RUN = "settle-1", "settle-2"
@@ -117,9 +118,44 @@ def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).options(header=True, enforceSchema=False).csv(layout.reports)
 
 
+def _live_tables(spark: SparkSession, sf_dir: str, layout: Layout) -> None:
+    """Zone load and household totals, drained from the event stream into their change logs."""
+    for start, table in (
+        (queries.start_zone_load, layout.rt_zone_load),
+        (queries.start_household_running, layout.rt_household_running),
+    ):
+        parsed = replay.parsed_stream(spark, sf_dir)
+        start(parsed, table, f"{table}_alerts", f"{layout.root}/checkpoints", None).awaitTermination()
+
+
+def merged_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged view read from stored tables: committed bills, live totals elsewhere."""
+    layout = settled(spark, sf_dir)
+    _live_tables(spark, sf_dir, layout)
+    merged = serving.household_daily(
+        reconcile.settled(spark, layout, "batch_household_bill"), reconcile.running(spark, layout)
+    )
+    return merged.drop("as_of")
+
+
+def freshness_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness by the time at which files were written, a minute and ten minutes later."""
+    layout = settled(spark, sf_dir)
+    _live_tables(spark, sf_dir, layout)
+    newest = reconcile.last_writes(spark, layout).agg(F.max("last_write")).first()[0]
+    after = lambda minutes: quality.freshness_status(
+        reconcile.last_writes(spark, layout, F.lit(newest) + F.expr(f"INTERVAL {minutes} MINUTES"))
+    )
+    later = after(10).select(F.col("table_name").alias("t"), F.col("is_stale").alias("is_stale_later"))
+    return after(1).join(later, F.col("table_name") == F.col("t")).select(
+        "table_name", F.col("last_write").isNotNull().alias("has_files"), "is_stale", "is_stale_later"
+    )
+
+
 INSTALLATION_QUERIES = {
     f.__name__: f
     for f in (
         settled_bills, settled_zones, settled_checks, settled_runs, pending_from_folders, report_csv,
+        merged_from_tables, freshness_from_files,
     )
 }

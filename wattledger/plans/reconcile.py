@@ -8,13 +8,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wattledger.operators import billing, clean, days, quality, serving, zones
 from wattledger.plans import commits, tables
-from wattledger.schemas import BILL_COLUMNS, LIMITS, Limits
+from wattledger.schemas import BILL_COLUMNS, HOUSEHOLD_RUNNING_COLUMNS, LIMITS, Limits
 from wattledger.session import Scratch, pin_utc
 from wattledger.sources import files
+from wattledger.streaming import changes, queries
 
 JOB_NAME = "billing_reconciliation"
 
@@ -42,6 +43,8 @@ class Layout:
     batch_zone_daily = property(lambda self: self.table("batch_zone_daily"))
     ops_pipeline_runs = property(lambda self: self.table("ops_pipeline_runs"))
     ops_dq_metrics = property(lambda self: self.table("ops_dq_metrics"))
+    rt_zone_load = property(lambda self: self.table("rt_zone_load"))
+    rt_household_running = property(lambda self: self.table("rt_household_running"))
     ops_commits = property(lambda self: self.table("ops_commits"))
     reports = property(lambda self: self.table("reports"))
 
@@ -93,6 +96,25 @@ def settled(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     return commits.committed(spark, layout.table(table), layout.ops_commits)
 
 
+def running(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The live household totals: the newest change of each household and day."""
+    root = layout.rt_household_running
+    schema = spark.read.parquet(f"{root}/changes").drop("batch_id").schema
+    log = changes.read_changes(spark, root, schema)
+    return changes.newest(log, queries.HOUSEHOLD_KEY, ("last_seen",)).select(*HOUSEHOLD_RUNNING_COLUMNS)
+
+
+def last_writes(spark: SparkSession, layout: Layout, now: Column | None = None) -> DataFrame:
+    """Newest write and age of the live tables and the bills, from their files' times."""
+    return quality.freshness(
+        F.current_timestamp() if now is None else now,
+        **{
+            name: (files.write_times(spark, layout.table(name)), "last_write")
+            for name in (*quality.LIVE_TABLES, "batch_household_bill")
+        },
+    )
+
+
 def settled_checks(spark: SparkSession, layout: Layout) -> DataFrame:
     """The checks of the runs that count."""
     checks = spark.read.parquet(layout.ops_dq_metrics)

@@ -82,3 +82,15 @@ def partition_days(
     return spark.createDataFrame([(d,) for d in names], "day string").select(
         F.col("day").cast("date").alias("sim_date")
     )
+
+
+def write_times(spark: SparkSession, path: str) -> DataFrame:
+    """(last_write) of every Parquet file below a folder; no row of them is read.
+
+    A folder that doesn't exist yet has no files.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], "last_write timestamp")
+    listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.parquet")
+    return listing.load(path).select(F.col("modificationTime").alias("last_write"))
