@@ -128,3 +128,21 @@ def test_statistics_need_no_second_deduplication(spark, tables_dir):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
     empty = readings.limit(0)
     assert clean.stats_of(clean.flag_clean(empty), clean.delivered(empty)).isEmpty()
+
+
+def test_write_times_come_from_files_alone(spark, tmp_path):
+    from wattledger.sources import files
+
+    assert files.write_times(spark, f"{tmp_path}/none").isEmpty()
+    for part in (1, 2):
+        spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/t/day={part}")
+    times = files.write_times(spark, f"{tmp_path}/t")
+    assert times.count() == 2 and times.filter("last_write IS NULL").isEmpty()
+    plan = times._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema:")[1]
+
+
+def test_freshness_of_an_installation(spark, layout):
+    rows = {r.table_name: r for r in reconcile.last_writes(spark, layout).collect()}
+    assert rows["rt_zone_load"].last_write is None  # nothing streamed here
+    assert rows["batch_household_bill"].last_write is not None
