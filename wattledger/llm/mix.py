@@ -181,16 +181,20 @@ def mix(docs: DataFrame, cap: float = 3.0) -> DataFrame:
 def repeated(docs: DataFrame, cap: float = 3.0) -> DataFrame:
     """The rows of the mixed corpus, with all their columns, each as often as it is taken.
 
-    Equal rows are written together as often as they are taken in all. Rows without words
-    use up no budget and are kept as they are.
+    Rows that agree in id, source and text share what they are taken for: each as often as
+    the copies of its source say, and the first of them, by their columns written as JSON,
+    once more. Rows without words use up no budget and are kept as they are. Nulls are
+    values; an empty table gives no rows.
     """
     planned = _planned(_distinct(docs), cap)
-    total = F.when(F.col("size") == 0, F.col("n")).otherwise(F.col("copies") * F.col("n") + F.col("extra"))
+    blank = F.col("size") == 0
     plan = stored(
         planned.select(
             F.col("doc_id").alias("plan_id"), F.col("source").alias("plan_source"),
-            F.col("pick").alias("plan_pick"), "n", total.alias("total"),
-        ).filter("total > 0"),
+            F.col("pick").alias("plan_pick"), "n",
+            F.when(blank, F.lit(1).cast("long")).otherwise(F.col("copies")).alias("each"),
+            F.when(blank, F.lit(0).cast("long")).otherwise(F.col("extra")).alias("more"),
+        ).filter("each * n + more > 0"),
         "mix-copies",
     )
     # Stored apart: equal rows are few, and the planner sees how few.
@@ -201,9 +205,19 @@ def repeated(docs: DataFrame, cap: float = 3.0) -> DataFrame:
         & F.col("this_source").eqNullSafe(F.col("plan_source"))
         & (F.col("this_pick") == F.col("plan_pick"))
     )
-    alone = _times(wide.join(plan.filter("n = 1"), same), F.col("total"))
-    # Equal rows are written as often as they are taken together.
-    several = wide.join(many, same).groupBy("this_id", "this_source", "this_pick").agg(
-        F.first("row").alias("row"), F.first("total").alias("total")
+    alone = _times(wide.join(plan.filter("n = 1"), same), F.col("each") + F.col("more"))
+    # Rows that agree in all columns are one row here, however often they occur.
+    identity = ("this_id", "this_source", "this_pick")
+    kinds = (
+        wide.join(many, same)
+        .withColumn("written", F.to_json("row"))
+        .groupBy(*identity, "written")
+        .agg(
+            F.first("row").alias("row"), F.count(F.lit(1)).alias("times"),
+            F.first("each").alias("each"), F.first("more").alias("more"),
+        )
     )
+    upto = F.sum("times").over(Window.partitionBy(*identity).orderBy("written"))
+    left = F.greatest(F.lit(0), F.least("times", F.col("more") - (upto - F.col("times"))))
+    several = kinds.withColumn("total", F.col("each") * F.col("times") + left)
     return alone.select("row.*").unionByName(_times(several, F.col("total")).select("row.*"))

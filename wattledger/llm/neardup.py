@@ -349,7 +349,8 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
 def one_of_each(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """The row with the smallest id of every class, and every row with a null text.
 
-    All columns are kept. Of rows that repeat both id and text, one stays.
+    All columns are kept. Of rows that repeat both id and text, one stays: the first by all
+    its columns written as JSON.
     """
     found = classes(docs, least)
     chosen = found.filter(F.col("first_id").eqNullSafe(F.col("class_id"))).select(
@@ -372,8 +373,12 @@ def one_of_each(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     once = kept.filter("times = 1").drop("times")
     often = stored(kept.filter("times > 1").drop("times"), "kept-repeated")
     same = (key == F.col(this)) & doc_id.eqNullSafe(F.col(own))
+    row = F.struct(*[docs[c] for c in docs.columns])
+    repeated = docs.join(often, same, "left_semi").groupBy("doc_id", "text").agg(
+        F.min_by(row, F.to_json(row)).alias(this)
+    )
     return (
         docs.join(once, same, "left_semi")
-        .unionByName(docs.join(often, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+        .unionByName(repeated.select(f"{this}.*"))
         .unionByName(docs.filter(F.col("text").isNull()))
     )
