@@ -32,7 +32,7 @@ SEQUENCE = 2048
 SEQUENCES_A_BATCH = 64
 #: Words whose ids a worker remembers, twice at most: those that were met since the last
 #: turn outlive it, the others are forgotten.
-REMEMBERED = 250_000
+REMEMBERED = 800_000
 #: Bytes of text that are encoded together at most, whole words each.
 CHUNK = 4_000_000
 #: Bytes of short texts whose new words are encoded together.
