@@ -49,3 +49,11 @@ def test_long_texts_are_cut_at_white_space(monkeypatch):
     text = " ".join(f"word{i}" for i in range(500)) + " " + "y" * 400
     want = Tokenizer.from_file(stages.tokenizer_path()).encode(text, add_special_tokens=False).ids
     assert encoder.encode([text.encode()]) == [np.array(want, "<u2").tobytes()]
+
+
+@pytest.mark.parametrize("text", [b"", b"  ", b"plain words", b"...", b"a. b"])
+def test_texts_of_one_kind_of_words(text):
+    encoder = tokens.WordEncoder(stages.tokenizer_path(), "<u2")
+    want = Tokenizer.from_file(stages.tokenizer_path()).encode(text.decode(), add_special_tokens=False).ids
+    assert encoder.encode([text]) == [np.array(want, "<u2").tobytes()]
+    assert encoder.encode([]) == []

@@ -85,6 +85,8 @@ class WordEncoder:
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
+        if not texts:
+            return []
         found = [e.ids for e in self._encode(texts, add_special_tokens=False)]
         data = np.fromiter(chain.from_iterable(found), self._dtype).tobytes()
         ends = (np.cumsum([len(x) for x in found], dtype="i8") * self._dtype.itemsize).tolist()
