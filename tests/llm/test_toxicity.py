@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import time
 
+import numpy as np
 import pytest
 
 from wattledger.llm import labelled, toxicity
@@ -124,3 +125,25 @@ def test_word_edges():
         assert lexicon.hits([word]) == []
         toxicity.contexts(["x", word, "y"], [(1, 0, 0)], ["abab"])
     assert time.perf_counter() - started < 10
+
+
+def test_few_training_rows_rank_held_out_ones(spark):
+    """58 labelled rows, 6 of them toxic: words in two toxic ones only are chance, not evidence."""
+    small = "/root/testdata/sf0.001"
+    docs, labels = (table(spark, small, t) for t in ("documents", "labels"))
+    fitted = toxicity.fit(docs, labels)
+    rows = toxicity.score(docs, fitted).join(labels, "doc_id").filter(toxicity.held_out(labels["doc_id"])).collect()
+    bad, good = ([r["score"] for r in rows if r["toxic"] == label] for label in (1, 0))
+    pairs = [(b > g) + (b == g) / 2 for b in bad for g in good]
+    assert sum(pairs) / len(pairs) > 0.65
+    assert not any(s >= toxicity.REJECT_SCORE for s in good)
+
+
+def test_evidence_by_chance():
+    """1000 words in two documents each, a tenth toxic: ten in toxic ones only are expected."""
+    at, number = toxicity.by_chance({2: 1000, 5: 1}, 10, 90)
+    assert list(number[at > 9]) == pytest.approx([0.00001, 0.00045, 10.0])
+    found = np.array([23.0] + [2 * 2 * np.log(10)] * 12)
+    assert toxicity.above_chance(found, at, number) == 1
+    assert toxicity.above_chance(np.array([23.0] + [2 * 2 * np.log(10)] * 40), at, number) == 41
+    assert toxicity.above_chance(found[:0], at, number) == 0
