@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import threading
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from wattledger import session
 from wattledger.plans import commits, installation, reconcile, tables
+from wattledger.sources import files, meter_tables
 
 FIRST, SECOND = date(2024, 1, 1), date(2024, 1, 2)
 
@@ -148,3 +151,49 @@ def test_freshness_of_an_installation(spark, tmp_path):
     rows = {r.table_name: r for r in reconcile.last_writes(spark, layout).collect()}
     assert rows["rt_zone_load"].last_write is None and rows["rt_zone_load"].staleness_seconds is None
     assert rows["batch_household_bill"].last_write is not None
+
+
+def test_tariffs_are_parsed_once_and_all_are_checked(spark, layout, monkeypatch):
+    """Their text is read by one job; the check and the prices read what it stored."""
+    plans, plain = {}, session.Scratch.settle
+
+    def settle(self, df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(self, df, label)
+
+    monkeypatch.setattr(session.Scratch, "settle", settle)
+    reconcile.settle_days(spark, layout, FIRST, run_id="parsed-once")
+    assert [label for label, plan in plans.items() if "scan csv" in plan.lower()] == ["tariffs"]
+
+    read = files.read_tariffs
+    before = seen(spark, layout)
+
+    def repeated(*args):
+        extra = read(*args).limit(1).withColumn("household_id", F.lit("HH-without-readings"))
+        return read(*args).union(extra).union(extra)
+
+    monkeypatch.setattr(files, "read_tariffs", repeated)
+    with pytest.raises(ValueError, match="more than one row"):
+        reconcile.settle_days(spark, layout, FIRST, run_id="repeated")
+    assert seen(spark, layout) == before
+
+
+def test_few_splits_of_tariffs_are_spread_before_they_are_repeated(spark, tables_dir):
+    tariffs = meter_tables.tariffs(spark, tables_dir)
+    daily = installation.daily_tariffs(tariffs, [FIRST, SECOND])
+    assert daily.rdd.getNumPartitions() > tariffs.rdd.getNumPartitions() == 1
+    assert daily.count() == 2 * tariffs.count()
+
+
+def test_jobs_run_together_and_the_first_failure_is_raised(spark):
+    meet = threading.Barrier(2, timeout=60)
+    assert session.together(spark, lambda: meet.wait() >= 0, lambda: meet.wait() >= 0) == [True, True]
+    ended = []
+
+    def failing(name):
+        ended.append(name)
+        raise ValueError(name)
+
+    with pytest.raises(ValueError, match="first"):
+        session.together(spark, lambda: failing("first"), lambda: failing("second"))
+    assert sorted(ended) == ["first", "second"]

@@ -16,7 +16,7 @@ from wattledger.operators import quality, serving
 from wattledger.plans import reconcile, replay, tables
 from wattledger.plans.reconcile import Layout
 from wattledger.schemas import ARCHIVE, Limits
-from wattledger.session import scratch_path
+from wattledger.session import scratch_path, together
 from wattledger.sources import files, meter_tables as mt
 from wattledger.streaming import queries
 
@@ -37,24 +37,38 @@ def archive_rows(readings: DataFrame) -> DataFrame:
     )
 
 
+def daily_tariffs(tariffs: DataFrame, days: list[date]) -> DataFrame:
+    """The tariffs as text, once per day.
+
+    They are a small file of one or two splits and become many times as many rows: the few are
+    spread over all tasks, in order, and written out as text before they are repeated.
+    """
+    columns = (
+        "household_id", "tariff_rate", "billing_tier", "subsidy_flag", "standing_charge", "export_rate",
+    )
+    tasks = int(tariffs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    text = tariffs.select(*[F.col(c).cast("string").alias(c) for c in columns]).repartitionByRange(tasks, "household_id")
+    return text.select("*", F.explode(F.array([F.lit(d) for d in days])).alias("sim_date"))
+
+
 def laid_out(spark: SparkSession, sf_dir: str) -> Layout:
     """An installation with all readings archived and the published days marked."""
     layout = Layout(scratch_path(spark, "installation"))
     archive = archive_rows(mt.readings(spark, sf_dir)).hint("rebalance", "sim_date")
-    archive.write.partitionBy("sim_date").parquet(layout.meter_readings)
     # One row per day; the same tariffs are published each day.
     days = mt.table(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct().collect()
-    tariffs = mt.tariffs(spark, sf_dir).select(
-        "household_id", "tariff_rate", "billing_tier", "subsidy_flag", "standing_charge",
-        "export_rate", F.explode(F.array([F.lit(r.d) for r in days])).alias("sim_date"),
-    )
+    tariffs = daily_tariffs(mt.tariffs(spark, sf_dir), [r.d for r in days])
     weather = mt.weather(spark, sf_dir).select(
         "grid_zone", F.col("sim_date").cast("string").alias("forecast_date"), "cloud_cover_pct",
         "expected_solar_index", F.lit(20.0).alias("temperature_c"), "sim_date",
     )
     published = [r.sim_date for r in mt.published_days(spark, sf_dir).collect()]  # one row per day
-    tables.publish_days(tariffs, weather, layout.root, published)
-    tables.refresh_dimension(mt.active_households(spark, sf_dir), layout.dim_household)
+    together(
+        spark,
+        lambda: tables.publish_days(tariffs, weather, layout.root, published),
+        lambda: archive.write.partitionBy("sim_date").parquet(layout.meter_readings),
+        lambda: tables.refresh_dimension(mt.active_households(spark, sf_dir), layout.dim_household),
+    )
     return layout
 
 

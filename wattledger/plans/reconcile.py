@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wattledger.operators import billing, clean, days, quality, serving, zones
 from wattledger.plans import commits, tables
 from wattledger.schemas import BILL_COLUMNS, HOUSEHOLD_RUNNING_COLUMNS, LIMITS, Limits
-from wattledger.session import Scratch, pin_utc
+from wattledger.session import Scratch, pin_utc, together
 from wattledger.sources import files
 from wattledger.streaming import changes, queries
 
@@ -63,6 +63,28 @@ def require_unique(df: DataFrame, *key: str) -> None:
         raise ValueError(f"more than one row for a key of ({', '.join(key)})")
 
 
+def _priced(spark: SparkSession, scratch: Scratch, flagged: DataFrame, tariffs: DataFrame) -> DataFrame:
+    """Unrounded bill lines, stored; stored tariffs that repeat a household and day are refused.
+
+    Most tariffs may belong to households without readings. The households with readings
+    are stored, so the planner knows their size and, while it is small, sends them to the
+    scan of the tariffs; only tariffs that price something are exchanged and sorted.
+    """
+
+    def energy_and_households() -> tuple[DataFrame, DataFrame]:
+        energy = scratch.settle(billing.household_energy(flagged), "energy")
+        return energy, scratch.settle(energy.select("household_id").distinct(), "households")
+
+    (energy, known), _ = together(
+        spark,
+        energy_and_households,
+        # The household first: rows spread and compare by it.
+        lambda: require_unique(tariffs, "household_id", "sim_date"),
+    )
+    wanted = tariffs.join(known, "household_id", "left_semi")
+    return scratch.settle(billing.price(energy, wanted), "priced")
+
+
 def _days(first: date, last: date) -> list[date]:
     return [date.fromordinal(n) for n in range(first.toordinal(), last.toordinal() + 1)]
 
@@ -161,22 +183,25 @@ def settle_days(
 
 def _settle(spark, layout, first_day, last_day, run_id, limits, gate) -> tuple[int, int]:
     readings = files.read_archive(spark, layout.meter_readings, first_day, last_day)
-    tariffs = files.read_tariffs(spark, layout.tariffs, first_day, last_day)
+    published = files.read_tariffs(spark, layout.tariffs, first_day, last_day)
     weather = files.read_weather(spark, layout.weather, first_day, last_day)
     dim = files.read_dim_household(spark, path=layout.dim_household)
-    require_unique(tariffs, "sim_date", "household_id")
-    require_unique(weather, "sim_date", "grid_zone")
     wanted, folder = _days(first_day, last_day), commits.new_folder(run_id)
     stamps = {"batch_run_id": F.lit(run_id), "computed_at": F.current_timestamp()}
 
     with Scratch(spark) as scratch:
-        flagged = scratch.settle(
-            clean.flag_clean(readings, limits).select(*FLAGGED_COLUMNS), "flagged"
+        rows = clean.flag_clean(readings, limits).select(*FLAGGED_COLUMNS)
+        # The text of the tariffs is parsed once, for the check of their key and for the prices.
+        flagged, tariffs, _ = together(
+            spark,
+            lambda: scratch.settle(rows, "flagged"),
+            lambda: scratch.settle(published, "tariffs"),
+            lambda: require_unique(weather, "sim_date", "grid_zone"),
         )
         if flagged.filter("billable").isEmpty():
             raise ValueError(f"no valid readings from {first_day} to {last_day}; nothing written")
         # Read by the bill table, the zone rollup and the tariff check.
-        priced = scratch.settle(billing.price(billing.household_energy(flagged), tariffs), "priced")
+        priced = _priced(spark, scratch, flagged, tariffs)
 
         bills = billing.bill_table(priced)
         require_constraints(bills)
