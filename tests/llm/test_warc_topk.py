@@ -5,6 +5,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +126,75 @@ def test_huge_components_and_few_rows(spark):
     assert got == [(0, 1, 1, min(brute(rows, 5)[0][3], (1 << 63) - 1)), (0, 2, 2, brute(rows, 5)[1][3])]
     empty = spark.createDataFrame([], SCHEMA)
     assert topk.top_k(empty, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_copies_of_queries_are_not_sent_through_the_driver(spark, monkeypatch):
+    """Queries meet 400 blocks; a copy for each, broadcast at once, would exceed the limit set."""
+    monkeypatch.setattr(topk, "VECTOR_ROWS", 10)
+    x = np.random.default_rng(6).normal(size=(4000, 64))
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    table_ = spark.createDataFrame([(*r, "") for r in rows], SCHEMA)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "8m")
+    try:
+        found = topk.top_k(table_, F.col("vec_id") % 50 == 0)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, found.collect()))
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert "explode" not in plan and "CartesianProduct" in plan
+    assert got == brute(rows, 5)
+
+
+@pytest.mark.parametrize("kind", ["normal", "close", "tied", "doubles", "longs", "huge", "narrow", "none"])
+def test_block_against_block(kind):
+    chance = np.random.default_rng(8)
+    size = {"doubles": 1e5, "longs": 1e8, "huge": 1e18}.get(kind, 300)
+    vs = (chance.normal(size=(300, 12)) * size).astype("i8")
+    if kind in ("close", "longs", "huge"):
+        vs = (vs[:6].repeat(50, 0) * (1 + chance.normal(size=(300, 12)) * 0.01)).astype("i8")
+    elif kind == "tied":
+        vs = vs[:2].repeat(150, 0)
+    ids = chance.integers(0, 250, 300)
+    length = np.sqrt((vs.astype("f8") ** 2).sum(axis=1))
+    order = np.lexsort((ids, -length))
+    ids, vs, length = ids[order], vs[order], length[order]
+    at = chance.choice(300, 40, replace=False)
+    _, at = np.unique(ids[at], return_index=True)
+    qs, k = vs[at], {"none": 400}.get(kind, 5)
+    if kind == "narrow":
+        vs[:, 9:] = 0
+        length = np.sqrt((vs.astype("f8") ** 2).sum(axis=1))
+        order = np.lexsort((ids, -length))
+        ids, vs, length = ids[order], vs[order, :9], length[order]
+    best = topk.Best(ids[at], np.full(len(at), topk.LONG[0]), k)
+    asked = (ids[at], np.sqrt((qs.astype("f8") ** 2).sum(axis=1)), qs)
+    for part in range(0, 300, 100):
+        topk.search_block(asked, (ids[part : part + 100], length[part : part + 100], vs[part : part + 100]), best)
+    got = Counter(zip(*map(np.ndarray.tolist, best.rows()), strict=True))
+    want = Counter()
+    for q, row in zip(ids[at].tolist(), qs.tolist(), strict=True):
+        products = [sum(a * b for a, b in zip(row, v)) for v in vs.tolist()]
+        held = [max(min(p, topk.LONG[1]), topk.LONG[0]) for p in products]
+        others = sorted((-s, i) for s, i in zip(held, ids.tolist(), strict=True) if i != q)
+        want.update((q, i, -s) for s, i in others[:k])
+    assert got == want
+
+
+def test_blocks_are_bounded_by_rows_and_bytes(monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 800)
+    rows = [(i, float(i % 3), np.arange(n, dtype="<i8").tobytes()) for i, n in enumerate([10] * 25 + [300, 0, 0, 5, 50])]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[a : a + 7], strict=True)], names=["vec_id", "length", "components"])
+        for a in range(0, len(rows), 7)
+    ]
+    cut = list(topk._cut(batches, ["vec_id", "length", "components"], 4, lambda x: x.astype(int)))
+    assert sorted(r for _, part in cut for r in part) == rows
+    for bucket, part in cut:
+        assert {int(r[1]) for r in part} == {bucket} and len(part) <= 4
+        assert len(part) == 1 or len(part) * max(len(r[2]) for r in part) <= 800
+        ids, lengths, whole = topk._unpacked(topk._packed(part))
+        assert ids.tolist() == [r[0] for r in part] and lengths.tolist() == [r[1] for r in part]
+        for r, components in zip(part, whole, strict=True):
+            n = len(r[2]) // 8
+            assert components[:n].astype("<i8").tobytes() == r[2]
+            assert not components[n:].any()
