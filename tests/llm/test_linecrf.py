@@ -136,6 +136,16 @@ def test_awkward_rows(awkward, documents, labels):
     assert np.allclose(again.field.emission, model.field.emission)
 
 
+def test_texts_without_lines_at_either_end():
+    """They leave the other texts' neighbours as they are, also where no line follows."""
+    x = np.arange(6.0).reshape(3, 2)
+    plain = linecrf.with_neighbours(x, np.array([0, 1, 3]))
+    assert plain[:, -2:].tolist() == [[1, 1], [1, 0], [0, 1]]
+    for first in ([0, 1, 3, 3], [0, 0, 1, 3], [0, 0, 1, 1, 3, 3, 3]):
+        assert (linecrf.with_neighbours(x, np.array(first)) == plain).all()
+    assert linecrf.with_neighbours(x[:0], np.array([0, 0])).shape == (0, 9)
+
+
 def test_one_label_only_and_none(documents, labels):
     docs = documents([(1, "a\nb"), (3, "c"), (None, "x")])
     only = linecrf.fit(docs, labels)

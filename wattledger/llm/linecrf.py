@@ -103,8 +103,9 @@ def with_neighbours(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     """
     n = len(x)
     has_before, has_after = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
-    has_before[first[:-1]] = False
-    has_after[first[1:] - 1] = False
+    full = np.diff(first) > 0  # texts without lines at either end have no place here
+    has_before[first[:-1][full]] = False
+    has_after[first[1:][full] - 1] = False
     before, after = np.zeros_like(x), np.zeros_like(x)
     before[1:], after[:-1] = x[:-1], x[1:]
     before[~has_before], after[~has_after] = 0, 0
@@ -171,7 +172,7 @@ def train(x: np.ndarray, first: np.ndarray, good: np.ndarray, rounds: int = ROUN
     field = Field(np.zeros(x.shape[1]), np.zeros(2), np.zeros((2, 2)))
     label = good.astype(int)
     begins = np.zeros(len(x), dtype=bool)
-    begins[first[:-1]] = True
+    begins[first[:-1][np.diff(first) > 0]] = True
     inner = np.flatnonzero(~begins)
     seen = np.zeros((2, 2))
     np.add.at(seen, (label[inner - 1], label[inner]), 1)
